@@ -38,6 +38,7 @@ def running_openings(
     )
     folded = F.aggregate(chunks, F.array(F.array(first)), fold_chunk)
     # The first element only seeds the fold; the last value of every chunk is its carry.
+    # The lengths are upper bounds: naming ``folded`` again would evaluate it again.
     return F.flatten(
-        F.transform(F.slice(folded, 2, F.size(folded)), lambda c: F.slice(c, 1, F.size(c) - 1))
+        F.transform(F.slice(folded, 2, F.size(items)), lambda c: F.slice(c, 1, F.size(c) - 1))
     )

@@ -4,24 +4,25 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions.interest import as_date, closing_balance, rate_fraction
 from tallybook.functions.keys import all_present, event_day
-from tallybook.functions.running import running_openings
+from tallybook.functions.running import CHUNK
 from tallybook.operators.snapshot import payout_columns
 from tallybook.schemas import ACCOUNT_KEY, MINIMUM_BALANCE, PAYOUTS
 from tallybook.sources.rates import unique_rates
 
 
 def rate_calendar(rates: DataFrame) -> DataFrame:
-    """Rate days in order: ``idx, rate_day, before, rate, island, day_count``.
+    """Rate days in order: ``idx, rate_day, before, rate, reopens, day_count``.
 
-    ``before`` is the rate day before this one. Consecutive days share an ``island``: inside
-    one the closing balance is carried, at its start the balance re-opens from raw sums.
+    ``before`` is the rate day before this one. Consecutive days form an island: inside one
+    the closing balance is carried, its first day ``reopens`` from raw sums.
     One row per day with a rate, so the calendar bounds it.
     """
+    before = F.when(F.col("pos") > 0, F.col("days")[F.col("pos") - 1]["date"])
     ordered = unique_rates(rates).agg(
         F.sort_array(F.collect_list(F.struct("date", "valor"))).alias("days")
     )
@@ -30,9 +31,9 @@ def rate_calendar(rates: DataFrame) -> DataFrame:
         .select(
             F.col("pos").alias("idx"),
             F.col("col.date").alias("rate_day"),
-            F.when(F.col("pos") > 0, F.col("days")[F.col("pos") - 1]["date"]).alias("before"),
+            before.alias("before"),
             rate_fraction(F.col("col.valor")).alias("rate"),
-            F.date_sub(F.col("col.date"), F.col("pos")).alias("island"),
+            (before.isNull() | (F.date_add(before, 1) < F.col("col.date"))).alias("reopens"),
             "day_count",
         )
     )
@@ -69,8 +70,10 @@ def snapshot_chain(
     if to_date is not None:
         rates = rates.where(F.col("date") <= F.lit(as_date(to_date)))
     calendar = rate_calendar(rates)
-    grid = account_days(account_slots(tx, calendar), calendar)
-    return running_snapshot(grid, calendar, previous, minimum)
+    spans = account_spans(account_slots(tx, calendar))
+    if previous is not None:
+        spans = continue_from(spans, calendar, previous)
+    return payout_rows(running_spans(spans, calendar, minimum), calendar, minimum)
 
 
 def account_slots(tx: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -101,72 +104,123 @@ def account_slots(tx: DataFrame, calendar: DataFrame) -> DataFrame:
     )
 
 
-def account_days(slots: DataFrame, calendar: DataFrame) -> DataFrame:
-    """One row per account and rate day from the account's first movement on.
+def account_spans(slots: DataFrame) -> DataFrame:
+    """Runs of rate days in which only the first may have a movement.
 
-    Each summed row spreads over the rate days up to the account's next one, in place.
+    A run lasts until the account's next summed row, at most CHUNK rate days. ``opening`` is
+    the raw sum before the first day of the run, ``later`` the one before its other days.
     """
     w = Window.partitionBy(*ACCOUNT_KEY).orderBy("slot")
     earlier = F.sum(F.col("on_day") + F.col("off_day")).over(
         w.rowsBetween(Window.unboundedPreceding, -1)
     )
-    spans = slots.select(
+    next_slot = F.coalesce(F.lead("slot").over(w), F.col("day_count"))
+    whole = slots.select(
         *ACCOUNT_KEY,
         "slot",
         "on_day",
         (F.coalesce(earlier, F.lit(0)) + F.col("off_day")).alias("history"),
-        F.coalesce(F.lead("slot").over(w), F.col("day_count")).alias("next_slot"),
+        (next_slot - 1).alias("last"),
     )
-    is_own_day = F.col("idx") == F.col("slot")
+    later = F.col("history") + F.col("on_day")
+    own = F.col("start") == F.col("slot")
     return (
-        spans
-        .withColumn("idx", F.explode(F.sequence(F.col("slot"), F.col("next_slot") - 1)))
-        .join(F.broadcast(calendar.select("idx", "rate_day", "rate", "island")), "idx")
+        whole
+        .withColumn("start", F.explode(F.sequence(F.col("slot"), F.col("last"), F.lit(CHUNK))))
         .select(
             *ACCOUNT_KEY,
-            "island",
-            "idx",
-            "rate_day",
-            "rate",
-            F.when(is_own_day, F.col("on_day").cast("double")).otherwise(F.lit(0.0))
-            .alias("movement"),
-            F.when(is_own_day, F.col("history"))
-            .otherwise(F.col("history") + F.col("on_day")).cast("double").alias("history"),
+            "start",
+            F.least(F.lit(CHUNK), F.col("last") - F.col("start") + 1).alias("length"),
+            F.when(own, F.col("on_day")).otherwise(F.lit(0)).cast("double").alias("movement"),
+            F.when(own, F.col("history")).otherwise(later).cast("double").alias("opening"),
+            later.cast("double").alias("later"),
         )
     )
 
 
-def running_snapshot(
-    grid: DataFrame, calendar: DataFrame, previous: DataFrame | None, minimum: float
-) -> DataFrame:
-    """Carry closing balances inside every island of rate days."""
-    day = F.struct("idx", "rate_day", "movement", "rate", "history")
-    per_island = grid.groupBy(*ACCOUNT_KEY, "island").agg(
-        F.sort_array(F.collect_list(day)).alias("days")
+def continue_from(spans: DataFrame, calendar: DataFrame, previous: DataFrame) -> DataFrame:
+    """Open the first rate day from the payouts of the day before it, where there are any."""
+    first_day = calendar.agg(F.min("rate_day")).scalar()
+    before = previous.where(F.col("date") == F.date_sub(first_day, 1)).select(
+        *ACCOUNT_KEY, F.col("saldo_final").alias("carried")
+    )
+    carried = F.when(F.col("start") == 0, F.col("carried"))
+    return (
+        spans.join(before, ACCOUNT_KEY, "left")
+        .withColumn("opening", F.coalesce(carried, F.col("opening")))
+        .drop("carried")
+    )
+
+
+def running_spans(spans: DataFrame, calendar: DataFrame, minimum: float) -> DataFrame:
+    """Add ``carried`` to every span: the closing balance before each of its days.
+
+    Gathers one small row per account: its elements are spans, which the calendar bounds
+    however many transactions the account has. The window's partitioning already fits.
+    """
+    per_account = spans.groupBy(*ACCOUNT_KEY).agg(
+        F.sort_array(
+            F.collect_list(F.struct("start", "length", "movement", "opening", "later"))
+        ).alias("spans")
+    )
+    # One row, one element per rate day.
+    rate_days = calendar.agg(
+        F.sort_array(F.collect_list(F.struct("idx", "rate", "reopens"))).alias("rate_days")
     )
-    history = F.col("days")[0]["history"]
-    if previous is None:
-        first = history
-    else:
-        first_day = calendar.agg(F.min("rate_day")).scalar()
-        before = previous.where(F.col("date") == F.date_sub(first_day, 1)).select(
-            *ACCOUNT_KEY, F.col("saldo_final").alias("carried")
+
+    def fold_span(done: Column, span: Column) -> Column:
+        def add(closings: Column, day: Column) -> Column:
+            first = day["idx"] == span["start"]
+            opening = day_opening(span, first, day["reopens"], F.element_at(closings, -1))
+            movement = F.when(first, span["movement"]).otherwise(F.lit(0.0))
+            return F.array_append(
+                closings, closing_balance(opening, movement, day["rate"], minimum)
+            )
+
+        days = F.slice("rate_days", span["start"] + 1, span["length"])
+        carried = F.element_at(F.element_at(done, -1), -1)
+        return F.array_append(done, F.aggregate(days, F.array(carried), add))
+
+    closings = F.aggregate("spans", F.array(F.array(F.lit(0.0))), fold_span)
+    return (
+        per_account
+        .crossJoin(F.broadcast(rate_days))
+        .select(
+            *ACCOUNT_KEY, "spans", F.slice(closings, 2, F.size("spans")).alias("closings")
         )
-        per_island = per_island.join(before, ACCOUNT_KEY, "left")
-        starts_range = F.col("days")[0]["idx"] == 0
-        first = F.coalesce(F.when(starts_range, F.col("carried")), history)
-    opening = running_openings(
-        F.col("days"),
-        first,
-        lambda balance, d: closing_balance(balance, d["movement"], d["rate"], minimum),
+        .select(*ACCOUNT_KEY, F.inline(F.arrays_zip("spans", "closings")))
+        .select(*ACCOUNT_KEY, "spans.*", F.col("closings").alias("carried"))
     )
-    rows = (
-        per_island
-        .select(*ACCOUNT_KEY, "days", opening.alias("opening"))
-        .select(*ACCOUNT_KEY, F.inline(F.arrays_zip("days", "opening")))
-        .select(*payout_columns(
-            F.col("opening"), F.col("days.movement"), F.col("days.rate"),
-            F.col("days.rate_day"), minimum,
-        ))
+
+
+def day_opening(span: Column, first: Column, reopens: Column, carried: Column) -> Column:
+    """The carried closing balance, or the raw sum where an island of rate days starts."""
+    raw = F.when(first, span["opening"]).otherwise(span["later"])
+    return F.when(reopens, raw).otherwise(carried)
+
+
+def payout_rows(spans: DataFrame, calendar: DataFrame, minimum: float) -> DataFrame:
+    """Spread the spans over their days and compute the payout columns."""
+    days = (
+        spans
+        .select(
+            *ACCOUNT_KEY,
+            F.struct("start", "movement", "opening", "later").alias("span"),
+            # The last value is the carry into the next span.
+            F.posexplode(F.slice("carried", 1, F.col("length"))).alias("pos", "carried"),
+        )
+        .withColumn("idx", F.col("span.start") + F.col("pos"))
+        .join(F.broadcast(calendar.select("idx", "rate_day", "rate", "reopens")), "idx")
+    )
+    first = F.col("pos") == 0
+    priced = days.select(
+        *ACCOUNT_KEY,
+        "rate_day",
+        "rate",
+        F.when(first, F.col("span.movement")).otherwise(F.lit(0.0)).alias("movement"),
+        day_opening(F.col("span"), first, F.col("reopens"), F.col("carried")).alias("opening"),
     )
+    rows = priced.select(*payout_columns(
+        F.col("opening"), F.col("movement"), F.col("rate"), F.col("rate_day"), minimum
+    ))
     return rows.select(*PAYOUTS.fieldNames())
