@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallybook.functions.keys import all_present
-from tallybook.operators.quality import dedup_latest
+from tallybook.operators.quality import dedup_latest, latest_per_key, unkeyed
 from tallybook.sources.sinks import (
     overwrite_partitions,
     rewrite_table,
@@ -44,11 +44,11 @@ def merge_upsert(
         raise ValueError(f"on_duplicate must be one of {DUPLICATE_POLICIES}")
     keys = list(keys)
     source_only = [c for c in source.columns if c not in target.columns]
-    if on_duplicate == "latest":
-        source = dedup_latest(source, keys, latest_by)
-
     row = F.struct(*source.columns).alias("new")
-    keyed_source = source.where(all_present(keys))
+    if on_duplicate == "latest":
+        keyed_source = latest_per_key(source, keys, latest_by)
+    else:
+        keyed_source = source.where(all_present(keys))
     if on_duplicate == "error":
         # For keys that repeat the row is not used: matching one of them is the failure.
         changes = keyed_source.groupBy(*keys).agg(
@@ -80,14 +80,14 @@ def merge_upsert(
         ).alias(name)
 
     updated = joined.select(*[chosen(c) for c in target.columns + source_only])
-    # Source rows with a NULL key match nothing and so pass this join as well.
-    inserted = source.join(
-        keyed_target.select(*keys).distinct(), keys, "left_anti"
-    ).select(*source.columns)
+    known = keyed_target.select(*keys).distinct()
+    inserted = keyed_source.join(known, keys, "left_anti").select(*source.columns)
+    # Rows with a NULL key skip the joins, where they would all hash to one task.
     return (
         updated
-        .unionByName(target.where(~all_present(keys)), allowMissingColumns=True)
+        .unionByName(unkeyed(target, keys), allowMissingColumns=True)
         .unionByName(inserted, allowMissingColumns=True)
+        .unionByName(unkeyed(source, keys), allowMissingColumns=True)
     )
 
 

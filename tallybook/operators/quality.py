@@ -25,23 +25,29 @@ def key_quality(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def dedup_latest(
+def latest_per_key(
     rows: DataFrame, keys: Sequence[str], latest_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Keep the row with the greatest ``latest_by`` per key; rows with a NULL key all stay.
+    """The row with the greatest ``latest_by`` per key, of the rows that have one.
 
     Remaining columns break ties, so the choice is deterministic. The maximum is combined
     before the shuffle: a key with very many copies never gathers in one task.
     """
+    keyed = rows.where(all_present(keys))
     rest = [c for c in rows.columns if c not in keys]
     order = [c for c in latest_by if c in rest] + [c for c in rest if c not in latest_by]
     if not order:
-        kept = rows.where(all_present(keys)).distinct()
-    else:
-        kept = (
-            rows.where(all_present(keys))
-            .groupBy(*keys)
-            .agg(F.max(F.struct(*order)).alias("kept"))
-            .select(*keys, "kept.*")
-        )
-    return kept.select(*rows.columns).unionByName(rows.where(~all_present(keys)))
+        return keyed.distinct()
+    kept = keyed.groupBy(*keys).agg(F.max(F.struct(*order)).alias("kept"))
+    return kept.select(*keys, "kept.*").select(*rows.columns)
+
+
+def unkeyed(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return rows.where(~all_present(keys))
+
+
+def dedup_latest(
+    rows: DataFrame, keys: Sequence[str], latest_by: Sequence[str] = ()
+) -> DataFrame:
+    """One row per key, the latest; rows with a NULL key all stay."""
+    return latest_per_key(rows, keys, latest_by).unionByName(unkeyed(rows, keys))

@@ -1,0 +1,43 @@
+"""Small hand-made inputs."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+from tallybook.schemas import CURATED_TRANSACTIONS, PAYOUTS, RATES, TRANSACTIONS
+
+
+def moment(text: str) -> dt.datetime:
+    value = dt.datetime.fromisoformat(text)
+    return value if value.tzinfo else value.replace(tzinfo=dt.timezone.utc)
+
+
+def tx_frame(spark, rows):
+    """Rows of (user, account, time text, amount text)."""
+    data = [
+        (u, a, None if t is None else moment(t), None if m is None else Decimal(m))
+        for u, a, t, m in rows
+    ]
+    return spark.createDataFrame(data, TRANSACTIONS)
+
+
+def curated_frame(spark, rows):
+    tx = tx_frame(spark, rows)
+    return tx.selectExpr("*", "to_date(event_time) AS date").select(
+        *CURATED_TRANSACTIONS.fieldNames()
+    )
+
+
+def rate_frame(spark, rates: dict[str, float | None]):
+    return spark.createDataFrame(
+        [(dt.date.fromisoformat(d), v) for d, v in rates.items()], RATES
+    )
+
+
+def payout_frame(spark, rows):
+    return spark.createDataFrame(rows, PAYOUTS)
+
+
+def as_set(frame):
+    return sorted(tuple(r) for r in frame.collect())
