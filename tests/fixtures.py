@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import io
 from decimal import Decimal
 
 from tallybook.schemas import CURATED_TRANSACTIONS, PAYOUTS, RATES, TRANSACTIONS
@@ -41,3 +43,10 @@ def payout_frame(spark, rows):
 
 def as_set(frame):
     return sorted(tuple(r) for r in frame.collect())
+
+
+def plan_of(frame) -> str:
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        frame.explain()
+    return out.getvalue()
