@@ -327,6 +327,7 @@ ORACLES: dict[str, str] = {
         FROM payouts GROUP BY date"""),
     "curate_day": _curated(DAY, EVE, WEEKEND),
     "curate_no_data": _curated(DAY),
+    "curate_arrivals": f"WITH {TX}, {LATEST_TX} SELECT {TX_COLUMNS} FROM kept",
     "payouts_of_days": _chain(
         TX, RATES, f"SELECT * FROM payouts WHERE date <= DATE '{DAY}'"),
     "tx_quality": f"WITH {TX}, {_quality('account_id, event_time')}",

@@ -38,6 +38,7 @@ from tallybook.sources import sample_tables as sample
 from tallybook.sources import sinks
 from tallybook.sources.tables import empty_table, read_table, read_transactions, table_exists
 from tallybook.sources.workspace import fresh_dir
+from tallybook.streaming.arrivals import curate_arrivals
 
 # Run dates of the sample month: a Wednesday, its eve, a Saturday, and a redelivered span.
 DAY = dt.date(2024, 1, 17)
@@ -504,6 +505,14 @@ def curate_no_data(spark, sf_dir):
     return _curated_with_rate(spark, zones)
 
 
+@query("curate_arrivals")
+def curate_arriving_files(spark, sf_dir):
+    zones = _zones(spark, "arrivals")
+    sample.transactions(spark, sf_dir).write.parquet(zones.raw_transactions)
+    curate_arrivals(spark, zones, f"{zones.base}/progress").awaitTermination()
+    return _comparable(read_table(spark, zones.transactions, CURATED_TRANSACTIONS))
+
+
 @query("payouts_of_days")
 def payouts_of_days(spark, sf_dir):
     """Range job up to the eve, then two daily runs on top of what it wrote."""

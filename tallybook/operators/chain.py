@@ -153,7 +153,7 @@ def continue_from(spans: DataFrame, calendar: DataFrame, previous: DataFrame) ->
 
 
 def running_spans(spans: DataFrame, calendar: DataFrame, minimum: float) -> DataFrame:
-    """Add ``carried`` to every span: the closing balance before each of its days.
+    """Add ``balances`` to every span: the closing before it, then those of its days.
 
     Gathers one small row per account: its elements are spans, which the calendar bounds
     however many transactions the account has. The window's partitioning already fits.
@@ -189,7 +189,7 @@ def running_spans(spans: DataFrame, calendar: DataFrame, minimum: float) -> Data
             *ACCOUNT_KEY, "spans", F.slice(closings, 2, F.size("spans")).alias("closings")
         )
         .select(*ACCOUNT_KEY, F.inline(F.arrays_zip("spans", "closings")))
-        .select(*ACCOUNT_KEY, "spans.*", F.col("closings").alias("carried"))
+        .select(*ACCOUNT_KEY, "spans.*", F.col("closings").alias("balances"))
     )
 
 
@@ -206,8 +206,10 @@ def payout_rows(spans: DataFrame, calendar: DataFrame, minimum: float) -> DataFr
         .select(
             *ACCOUNT_KEY,
             F.struct("start", "movement", "opening", "later").alias("span"),
-            # The last value is the carry into the next span.
-            F.posexplode(F.slice("carried", 1, F.col("length"))).alias("pos", "carried"),
+            F.posexplode(F.arrays_zip(
+                F.slice("balances", 1, F.col("length")).alias("carried"),
+                F.slice("balances", 2, F.col("length")).alias("closing"),
+            )).alias("pos", "balance"),
         )
         .withColumn("idx", F.col("span.start") + F.col("pos"))
         .join(F.broadcast(calendar.select("idx", "rate_day", "rate", "reopens")), "idx")
@@ -218,9 +220,13 @@ def payout_rows(spans: DataFrame, calendar: DataFrame, minimum: float) -> DataFr
         "rate_day",
         "rate",
         F.when(first, F.col("span.movement")).otherwise(F.lit(0.0)).alias("movement"),
-        day_opening(F.col("span"), first, F.col("reopens"), F.col("carried")).alias("opening"),
+        day_opening(
+            F.col("span"), first, F.col("reopens"), F.col("balance.carried")
+        ).alias("opening"),
+        F.col("balance.closing").alias("closing"),
     )
     rows = priced.select(*payout_columns(
-        F.col("opening"), F.col("movement"), F.col("rate"), F.col("rate_day"), minimum
+        F.col("opening"), F.col("movement"), F.col("rate"), F.col("closing"),
+        F.col("rate_day"), minimum,
     ))
     return rows.select(*PAYOUTS.fieldNames())

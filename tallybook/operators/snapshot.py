@@ -20,8 +20,9 @@ from tallybook.schemas import ACCOUNT_KEY, MINIMUM_BALANCE, PAYOUTS
 from tallybook.sources.rates import rate_lookup
 
 
-def payout_columns(opening: Column, movement: Column, rate: Column, day: Column,
-                   minimum: float) -> list[Column]:
+def payout_columns(
+    opening: Column, movement: Column, rate: Column, closing: Column, day: Column, minimum: float
+) -> list[Column]:
     """The payout row of one account and day."""
     return [
         *[F.col(c) for c in ACCOUNT_KEY],
@@ -29,7 +30,7 @@ def payout_columns(opening: Column, movement: Column, rate: Column, day: Column,
         movement.alias("movimentacao_dia"),
         eligible_balance(opening, minimum).alias("saldo_elegivel"),
         daily_interest(opening, rate, minimum).alias("juros_calculado"),
-        closing_balance(opening, movement, rate, minimum).alias("saldo_final"),
+        closing.alias("saldo_final"),
         day.alias("date"),
     ]
 
@@ -83,7 +84,9 @@ def daily_snapshot(
         .crossJoin(F.broadcast(rate_lookup(rates, today)))
         .withColumn("opening", opening_balance(F.col("prev_saldo_final"), F.col("history")))
     )
-    rows = priced.select(*payout_columns(
-        F.col("opening"), F.col("movement"), F.col("rate"), F.lit(today), minimum
-    ))
+    opening, movement, rate = F.col("opening"), F.col("movement"), F.col("rate")
+    closing = closing_balance(opening, movement, rate, minimum)
+    rows = priced.select(
+        *payout_columns(opening, movement, rate, closing, F.lit(today), minimum)
+    )
     return rows.select(*PAYOUTS.fieldNames())
