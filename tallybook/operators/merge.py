@@ -11,13 +11,8 @@ from pyspark.sql.types import StructType
 
 from tallybook.functions.keys import all_present
 from tallybook.operators.quality import dedup_latest, latest_per_key, unkeyed
-from tallybook.sources.sinks import (
-    overwrite_partitions,
-    rewrite_table,
-    write_partitioned,
-    write_table,
-)
-from tallybook.sources.tables import read_table, table_exists
+from tallybook.sources.sinks import overwrite_partitions, rewrite_table, write_table
+from tallybook.sources.tables import find_partitions, find_stored
 
 DUPLICATE_POLICIES = ("error", "keep_all", "latest")
 
@@ -91,22 +86,11 @@ def merge_upsert(
     )
 
 
-def touched_partitions(
-    target: DataFrame,
-    days: DataFrame | Sequence[dt.date],
-    partition: str = "date",
-) -> DataFrame:
-    """Rows of ``target`` in the given partitions, pruned at planning time.
-
-    The days of a frame come to the driver, at most one per partition directory; reading a
-    partitioned table lists those there anyway.
-    """
-    here = F.col(partition)
+def partition_days(days: DataFrame | Sequence[dt.date], partition: str) -> list[dt.date | None]:
+    """Distinct partition values; at most one per calendar day ever reaches the driver."""
     if isinstance(days, DataFrame):
-        days = [row[0] for row in days.select(partition).distinct().collect()]
-    named = [day for day in days if day is not None]
-    unnamed = here.isNull() if len(named) < len(days) else F.lit(False)
-    return target.where(here.isin(named) | unnamed)
+        return [row[0] for row in days.select(partition).distinct().collect()]
+    return list(days)
 
 
 def upsert_partitioned(
@@ -128,14 +112,12 @@ def upsert_partitioned(
     which spares a pass over the source. Partitions that hold nothing yet, the usual case of
     a daily run, are written without any join.
     """
-    first = dedup_latest(source, keys, latest_by) if on_duplicate == "latest" else source
-    if not table_exists(spark, path, schema):
-        write_partitioned(first, path, partition)
+    touched = partition_days(source if days is None else days, partition)
+    if not touched:
         return
-    target = touched_partitions(
-        read_table(spark, path, schema), source if days is None else days, partition
-    )
-    if target.isEmpty():
+    target = find_partitions(spark, path, schema, touched, partition)
+    if target is None or target.isEmpty():
+        first = dedup_latest(source, keys, latest_by) if on_duplicate == "latest" else source
         overwrite_partitions(first, path, partition)
         return
     merged = merge_upsert(
@@ -155,12 +137,12 @@ def upsert_table(
     latest_by: Sequence[str] = (),
 ) -> None:
     """Upsert into a small unpartitioned table, creating it on the first call."""
-    if not table_exists(spark, path, schema):
+    target = find_stored(spark, path, schema)
+    if target is None:
         first = dedup_latest(source, keys, latest_by) if on_duplicate == "latest" else source
         write_table(first, path)
         return
     merged = merge_upsert(
-        read_table(spark, path, schema), source, keys,
-        on_duplicate=on_duplicate, latest_by=latest_by,
+        target, source, keys, on_duplicate=on_duplicate, latest_by=latest_by
     )
     rewrite_table(merged, path)

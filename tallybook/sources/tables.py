@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallybook.schemas import TRANSACTIONS
@@ -35,17 +38,57 @@ def read_table(
     return spark.read.schema(schema).parquet(path)
 
 
-def table_exists(spark: SparkSession, path: str, schema: StructType) -> bool:
+def find_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    """The table, or None where there is none yet; its files are listed once."""
     try:
-        spark.read.schema(schema).parquet(path)
+        return read_table(spark, path, schema)
     except AnalysisException as error:
         if is_missing_path(error):
-            return False
+            return None
         raise
-    return True
+
+
+def table_exists(spark: SparkSession, path: str, schema: StructType) -> bool:
+    return find_table(spark, path, schema) is not None
 
 
 def read_table_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    if table_exists(spark, path, schema):
-        return read_table(spark, path, schema)
-    return empty_table(spark, schema)
+    table = find_table(spark, path, schema)
+    return empty_table(spark, schema) if table is None else table
+
+
+def with_declared(rows: DataFrame, schema: StructType) -> DataFrame:
+    """Declared columns first, with their types and NULL where missing, then all others."""
+    declared = [
+        (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ]
+    others = [c for c in rows.columns if c not in schema.fieldNames()]
+    return rows.select(*declared, *others)
+
+
+def find_stored(
+    spark: SparkSession, path: str, schema: StructType, base: str | None = None
+) -> DataFrame | None:
+    """What is stored under ``path``, with columns the schema does not know; None if nothing.
+
+    For rows that are written back: a column added by an earlier upsert must not get lost.
+    """
+    reader = spark.read.option("mergeSchema", "true")
+    if base is not None:
+        reader = reader.option("basePath", base)
+    try:
+        return with_declared(reader.parquet(path), schema)
+    except AnalysisException as error:
+        # Without any file there are no columns to infer.
+        if is_missing_path(error) or error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise
+
+
+def find_partitions(
+    spark: SparkSession, path: str, schema: StructType, days: Sequence[object], partition: str
+) -> DataFrame | None:
+    """Stored rows of the given partitions; no other directory is listed or opened."""
+    names = ",".join("__HIVE_DEFAULT_PARTITION__" if d is None else str(d) for d in days)
+    return find_stored(spark, f"{path}/{partition}={{{names}}}", schema, base=path)

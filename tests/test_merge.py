@@ -154,6 +154,27 @@ def test_evolved_partitions_read_back(spark, path):
     }
 
 
+def test_upsert_adds_a_column(spark, path):
+    sinks.write_partitioned(
+        curated_frame(spark, [("u", "a", T1, "1.00"), ("u", "b", T2, "2.00")]), path
+    )
+    source = curated_frame(spark, [("u", "b", T2, "5.00"), ("u", "c", T2, "6.00")]).withColumn(
+        "note", F.lit("new")
+    )
+    upsert_partitioned(spark, path, source, TRANSACTION_KEY, CURATED_TRANSACTIONS)
+    evolved = read_table(spark, path, source.schema)
+    assert {(r.account_id, float(r.amount), r.note) for r in evolved.collect()} == {
+        ("a", 1.0, None), ("b", 5.0, "new"), ("c", 6.0, "new"),
+    }
+    # Later rows without the column leave it as it was.
+    plain = curated_frame(spark, [("u", "b", T2, "7.00"), ("u", "a", T1, "8.00")])
+    upsert_partitioned(spark, path, plain, TRANSACTION_KEY, CURATED_TRANSACTIONS)
+    evolved = read_table(spark, path, source.schema)
+    assert {(r.account_id, float(r.amount), r.note) for r in evolved.collect()} == {
+        ("a", 8.0, None), ("b", 7.0, "new"), ("c", 6.0, "new"),
+    }
+
+
 def test_rate_upsert(spark, path):
     upsert_table(spark, path, rate_frame(spark, {"2024-01-01": 0.1}), RATE_KEY, RATES)
     for _ in range(2):
