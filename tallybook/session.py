@@ -26,6 +26,9 @@ def build_session(
         "spark.sql.session.timeZone": time_zone,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # What is shuffled per account expands to many payout rows, so even small shuffle
+        # partitions are worth a task of their own.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
