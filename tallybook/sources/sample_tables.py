@@ -54,10 +54,15 @@ def transactions_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weekday_rates(times: DataFrame, time: str) -> DataFrame:
-    """A rate for every weekday between the first and the last time."""
-    span = times.agg(F.to_date(F.min(time)).alias("low"), F.to_date(F.max(time)).alias("high"))
+    """A rate for every weekday between the first and the last time.
+
+    The two dates are fetched once: plans use the rates in several places, each of which
+    would otherwise scan the table for them.
+    """
+    low, high = times.agg(F.to_date(F.min(time)), F.to_date(F.max(time))).first()
+    span = F.sequence(F.lit(low).cast("date"), F.lit(high).cast("date"))
     return (
-        span.select(F.explode(F.sequence("low", "high")).alias("date"))
+        times.sparkSession.range(1).select(F.explode(span).alias("date"))
         .where(F.weekday("date") < 5)
         .select("date", sample_rate(F.col("date")).alias("valor"))
     )
