@@ -93,6 +93,18 @@ def partition_days(days: DataFrame | Sequence[dt.date], partition: str) -> list[
     return list(days)
 
 
+def within_days(
+    source: DataFrame, days: Sequence[dt.date | None], partition: str
+) -> DataFrame:
+    """Fail on rows of other days: their partitions would be replaced without being read."""
+    here = F.col(partition)
+    expected = here.isin([d for d in days if d is not None])
+    if None in days:
+        expected = expected | here.isNull()
+    other = F.raise_error(F.lit(f"source rows outside the given {partition} partitions"))
+    return source.where(F.when(expected, F.lit(True)).otherwise(other.cast("boolean")))
+
+
 def upsert_partitioned(
     spark: SparkSession,
     path: str,
@@ -115,6 +127,8 @@ def upsert_partitioned(
     touched = partition_days(source if days is None else days, partition)
     if not touched:
         return
+    if days is not None:
+        source = within_days(source, touched, partition)
     target = find_partitions(spark, path, schema, touched, partition)
     if target is None or target.isEmpty():
         first = dedup_latest(source, keys, latest_by) if on_duplicate == "latest" else source

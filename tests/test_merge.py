@@ -134,6 +134,17 @@ def test_upsert_of_nothing(spark, path):
     assert amounts(read_table(spark, path, CURATED_TRANSACTIONS)) == [("a", 1.0)]
 
 
+def test_rows_outside_the_given_days_are_refused(spark, path):
+    sinks.write_partitioned(curated_frame(spark, [("u", "a", T1, "1.00")]), path)
+    source = curated_frame(spark, [("u", "b", T1, "2.00"), ("u", "b", T2, "3.00")])
+    with pytest.raises(Exception, match="outside the given date partitions"):
+        upsert_partitioned(
+            spark, path, source, TRANSACTION_KEY, CURATED_TRANSACTIONS,
+            days=[dt.date(2024, 1, 1)],
+        )
+    assert amounts(read_table(spark, path, CURATED_TRANSACTIONS)) == [("a", 1.0)]
+
+
 def test_undated_rows_survive(spark, path):
     sinks.write_partitioned(
         curated_frame(spark, [("u", "a", None, "1.00"), ("u", "a", T1, "2.00")]), path

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallybook.operators.balances import curate_transactions
 from tallybook.operators.snapshot import daily_snapshot
 from tallybook.plans.curate import curate_day
+from tallybook.plans.daily import run_day
 from tallybook.plans.payouts import payouts_day, payouts_range
 from tallybook.plans.zones import Zones
 from tallybook.schemas import CURATED_TRANSACTIONS, PAYOUTS, RATE_PAYLOAD, RATES
@@ -156,6 +157,20 @@ def test_daily_runs_equal_one_range_run(spark, tmp_path):
     assert as_set(read_table(spark, mixed.payouts, PAYOUTS)) == want
 
 
+def test_run_day_with_and_without_a_rate(spark, zones):
+    raw(spark, zones, TX)
+    answer = '[{"data": "%s", "valor": "0.04"}]'
+    payloads = {"2024-01-08": answer % "08/01/2024", "2024-01-09": answer % "09/01/2024",
+                "2024-01-10": "[]", "2024-01-11": None}
+    for day, payload in [*payloads.items(), ("2024-01-09", payloads["2024-01-09"])]:
+        run_day(spark, zones, day, payload)
+    got = [(r[1], r[6], str(r[7])) for r in as_set(read_table(spark, zones.payouts, PAYOUTS))]
+    assert got == [
+        ("a", 1000.0, "2024-01-08"), ("a", 1005.4, "2024-01-09"), ("b", 7.0, "2024-01-09"),
+    ]
+    assert read_table(spark, zones.transactions, CURATED_TRANSACTIONS).count() == 4
+
+
 def test_late_transactions_enter_on_a_rerun(spark, zones):
     raw(spark, zones, TX)
     land(spark, zones, {"2024-01-09": "0.04"})
