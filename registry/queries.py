@@ -235,6 +235,7 @@ def merge_payouts(spark, sf_dir):
         spark, zones.payouts, revised, PAYOUT_KEY, PAYOUTS,
         days=sample.rates(spark, sf_dir).where(F.col("date") >= F.lit(REDELIVERY_FROM)),
         on_duplicate="keep_all",
+        materialize=True,
     )
     return read_table(spark, zones.payouts, PAYOUTS)
 

@@ -13,6 +13,7 @@ from tallybook.functions.keys import all_present
 from tallybook.operators.quality import dedup_latest, latest_per_key, unkeyed
 from tallybook.sources.sinks import overwrite_partitions, rewrite_table, write_table
 from tallybook.sources.tables import find_partitions, find_stored
+from tallybook.sources.workspace import materialized
 
 DUPLICATE_POLICIES = ("error", "keep_all", "latest")
 
@@ -116,13 +117,15 @@ def upsert_partitioned(
     days: DataFrame | Sequence[dt.date] | None = None,
     on_duplicate: str = "latest",
     latest_by: Sequence[str] = (),
+    materialize: bool = False,
 ) -> None:
     """Upsert into a partitioned table, creating it on the first call.
 
     Only touched partitions are read and rewritten, which is sound because every key here
     contains or determines the partition column. ``days`` names them when the caller knows,
     which spares a pass over the source. Partitions that hold nothing yet, the usual case of
-    a daily run, are written without any join.
+    a daily run, are written without any join. Otherwise the source is evaluated more than
+    once; ``materialize`` one that is expensive.
     """
     touched = partition_days(source if days is None else days, partition)
     if not touched:
@@ -134,6 +137,8 @@ def upsert_partitioned(
         first = dedup_latest(source, keys, latest_by) if on_duplicate == "latest" else source
         overwrite_partitions(first, path, partition)
         return
+    if materialize:
+        source = materialized(source, "upsert")
     merged = merge_upsert(
         target, source, keys, on_duplicate=on_duplicate, latest_by=latest_by
     )

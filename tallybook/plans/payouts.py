@@ -35,7 +35,8 @@ def payouts_day(spark: SparkSession, zones: Zones, business_date: str | dt.date)
     rows = daily_snapshot(tx, rates, previous, day)
     # One row per account already, so nothing needs to be de-duplicated.
     upsert_partitioned(
-        spark, zones.payouts, rows, PAYOUT_KEY, PAYOUTS, days=[day], on_duplicate="keep_all"
+        spark, zones.payouts, rows, PAYOUT_KEY, PAYOUTS,
+        days=[day], on_duplicate="keep_all", materialize=True,
     )
 
 
@@ -61,5 +62,6 @@ def payouts_range(
     previous = read_table_or_empty(spark, zones.payouts, PAYOUTS)
     rows = snapshot_chain(tx, rates, previous=previous)
     upsert_partitioned(
-        spark, zones.payouts, rows, PAYOUT_KEY, PAYOUTS, days=rates, on_duplicate="keep_all"
+        spark, zones.payouts, rows, PAYOUT_KEY, PAYOUTS,
+        days=rates, on_duplicate="keep_all", materialize=True,
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tallybook.sources.workspace import ensure_checkpoint_dir
+from tallybook.sources.workspace import materialized
 
 
 def _by_partition(rows: DataFrame, partition: str) -> DataFrame:
@@ -43,8 +43,8 @@ def write_table(rows: DataFrame, path: str) -> None:
 def rewrite_table(rows: DataFrame, path: str) -> None:
     """Replace an unpartitioned table with rows that were derived from it.
 
-    A reliable checkpoint detaches the rows from the files about to be replaced. Meant for
-    small tables such as the rates; large ones are partitioned.
+    A copy in the shared folder detaches the rows from the files about to be replaced, and
+    outlives a failure in between. Meant for small tables such as the rates; large ones are
+    partitioned.
     """
-    ensure_checkpoint_dir(rows.sparkSession)
-    write_table(rows.checkpoint(eager=True), path)
+    write_table(materialized(rows, "rewrite"), path)

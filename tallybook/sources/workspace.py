@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -22,7 +22,8 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/tallybook-{name}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(fresh_dir(spark, "checkpoint"))
+def materialized(rows: DataFrame, name: str) -> DataFrame:
+    """The rows written to the shared folder and read back: computed once, lineage cut."""
+    path = fresh_dir(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
