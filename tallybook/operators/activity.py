@@ -44,7 +44,7 @@ def activity_lag(activity: DataFrame) -> DataFrame:
     return activity.select(
         *ACCOUNT_KEY,
         "event_date",
-        F.coalesce(previous, F.lit(0.0)).alias("saldo_dia_anterior"),
+        F.coalesce(previous, F.lit(0)).alias("saldo_dia_anterior"),
         "movimentacao_dia",
         F.lag("event_time").over(w).alias("horario_saldo_elegivel"),
         "event_time",

@@ -25,21 +25,27 @@ def key_quality(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def latest_per_key(
-    rows: DataFrame, keys: Sequence[str], latest_by: Sequence[str] = ()
+def _greatest(
+    rows: DataFrame, group: Sequence[str], latest_by: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
-    """The row with the greatest ``latest_by`` per key, of the rows that have one.
+    """One row per group. Columns after ``latest_by`` break ties, so the choice is fixed.
 
-    Remaining columns break ties, so the choice is deterministic. The maximum is combined
-    before the shuffle: a key with very many copies never gathers in one task.
+    The maximum is combined before the shuffle: a key with very many copies never gathers
+    in one task.
     """
-    keyed = rows.where(all_present(keys))
-    rest = [c for c in rows.columns if c not in keys]
+    rest = [c for c in columns if c not in group]
     order = [c for c in latest_by if c in rest] + [c for c in rest if c not in latest_by]
     if not order:
-        return keyed.distinct()
-    kept = keyed.groupBy(*keys).agg(F.max(F.struct(*order)).alias("kept"))
-    return kept.select(*keys, "kept.*").select(*rows.columns)
+        return rows.select(*group).distinct().select(*columns)
+    kept = rows.groupBy(*group).agg(F.max(F.struct(*order)).alias("kept"))
+    return kept.select(*group, "kept.*").select(*columns)
+
+
+def latest_per_key(
+    rows: DataFrame, keys: Sequence[str], latest_by: Sequence[str] = ()
+) -> DataFrame:
+    """The row with the greatest ``latest_by`` per key, of the rows that have one."""
+    return _greatest(rows.where(all_present(keys)), list(keys), latest_by, rows.columns)
 
 
 def unkeyed(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -49,5 +55,11 @@ def unkeyed(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 def dedup_latest(
     rows: DataFrame, keys: Sequence[str], latest_by: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per key, the latest; rows with a NULL key all stay."""
-    return latest_per_key(rows, keys, latest_by).unionByName(unkeyed(rows, keys))
+    """One row per key, the latest; rows with a NULL key all stay.
+
+    Numbering the latter makes each a group of its own, so one pass serves both.
+    """
+    apart = F.when(~all_present(keys), F.monotonically_increasing_id())
+    return _greatest(
+        rows.withColumn("apart", apart), [*keys, "apart"], latest_by, rows.columns
+    )

@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
         "tallybook-tests",
         master="local[8]",
         extra={
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
         },

@@ -56,6 +56,7 @@ def test_published_table(spark, sao_paulo):
         tx, rates, accounts=[ACCOUNT], from_date="2024-04-30", to_date="2024-05-25"
     )
     assert rows.columns == LEDGER_COLUMNS
+    assert dict(rows.dtypes)["saldo_dia_anterior"].startswith("decimal")
     report = ledger_report(rows)
     assert report.columns == LEDGER_REPORT_COLUMNS
     got = rows.orderBy("event_date").selectExpr("to_date(event_date) AS day", "*").collect()
