@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
         master="local[8]",
         extra={
             "spark.sql.shuffle.partitions": "4",
+            "spark.default.parallelism": "2",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
         },
