@@ -83,6 +83,14 @@ def test_payload_arrays_records_and_bad_text(spark):
     assert [tuple(r) for r in records.collect()] == [(dt.date(2024, 4, 30), 0.04)]
 
 
+def test_one_line_file_with_two_records(spark, zones):
+    text = '[{"data": "30/04/2024", "valor": "0.1"}, {"data": "30/04/2024", "valor": "0.2"}]'
+    rows = spark.createDataFrame([(dt.date(2024, 4, 30), text)], "date date, payload string")
+    rate_source.land_rates(rows, zones.raw_rates)
+    landed = rate_source.read_landed_rates(spark, zones.raw_rates, "2024-04-30")
+    assert [r.valor for r in landed.orderBy("valor").collect()] == ["0.1", "0.2"]
+
+
 def test_repeated_rates_never_multiply_rows(spark):
     rates = spark.createDataFrame(
         [(dt.date(2024, 1, 1), 0.1), (dt.date(2024, 1, 1), 0.2), (None, 1.0)], RATES
