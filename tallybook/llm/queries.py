@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import decontaminate, langid, mixing, pii, simhash
+from tallybook.llm import decontaminate, digests, langid, licences, mixing, pages, pii, simhash, suffixes, warc
 from tallybook.llm.common import read
+from tallybook.sources.workspace import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +17,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHINGLE, MAX_DISTANCE = 3, 3
 
 
+def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: of each hundred ids of a source the first is ``source/hundred/LICENSE``, others lie a language below."""
+    docs = read(spark, sf_dir, "documents")
+    folder = F.concat_ws("/", "source", F.floor(F.col("doc_id") / 100).cast("string"))
+    below = F.concat_ws("/", folder, "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    path = F.when(F.col("doc_id") % 100 == 0, F.concat(folder, F.lit("/LICENSE"))).otherwise(below)
+    found = licences.scan_licences(docs.select("doc_id", path.alias("path"), "text"))
+    return found.select("doc_id", "path", "licence", "origin", F.round("cosine", 9).alias("cosine"), "line", "from_path")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
     return found.select(
@@ -26,6 +37,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.remove_repeats(read(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=SHINGLE, max_distance=MAX_DISTANCE)
     return classes.select("doc_id", simhash.hex_print("print").alias("fingerprint"), "component_id")
@@ -36,6 +52,23 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.select("doc_id", langid.held_out("doc_id").alias("held_out"), "language.*")
 
 
+def op6_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract_text(read(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "warc")
+    warc.write_warc(read(spark, sf_dir, "pages"), path)
+    found = warc.read_warc(spark, path).where("type is not null")
+    return found.select(
+        warc.page_number("record_id", "long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        warc.page_number("refers_to", "long").alias("refers_to"),
+    )
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
@@ -56,12 +89,31 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests.compare_with_next(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_licences": op1_licences,
     "op2_decontaminate": op2_decontaminate,
+    "op3_suffixes": op3_suffixes,
     "op4_simhash": op4_simhash,
     "op5_language": op5_language,
+    "op6_pages": op6_pages,
+    "op7_warc": op7_warc,
     "op8_mixing": op8_mixing,
     "op9_pii": op9_pii,
+    "op10_digests": op10_digests,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_warc": """
+        WITH p AS (
+          SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+        t AS (SELECT payload_digest, max(page_id) AS top FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+        SELECT page_id, payload_bytes, p.payload_digest,
+               CASE WHEN top IS NULL OR page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> top THEN top END AS refers_to
+        FROM p LEFT JOIN t ON p.payload_digest = t.payload_digest AND payload_bytes >= 1000
+    """,
+}
