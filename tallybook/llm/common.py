@@ -52,13 +52,18 @@ def window_hashes(data: np.ndarray, length: int) -> np.ndarray:
     while left:
         if left & 1:
             part = power[done : len(data) - length + 1 + done]
-            total = part if total is None else mix(total + (part ^ (part >> _SHIFT)) * np.uint64(3))
+            total = part if total is None else total * _factor(span) + part
             done += span
         left >>= 1
         if left:
-            power = mix(power[:-span] + (power[span:] ^ (power[span:] >> _SHIFT)) * np.uint64(5))
+            power = power[:-span] * _factor(-span) + power[span:]
             span *= 2
-    return total
+    return mix(total)
+
+
+def _factor(of: int) -> np.uint64:
+    """An odd number for each step of ``window_hashes``."""
+    return mix(np.array([of], np.int64).view(np.uint64))[0] | np.uint64(1)
 
 
 def sliding_min(values: np.ndarray, length: int) -> np.ndarray:

@@ -13,7 +13,8 @@ from tallybook.llm.common import materialized, mix, sliding_min, small_batches,
 
 LEAD = 32  # bytes of the string that stands for a run of windows
 BLOCK = 16  # neighbouring windows that are compared together
-_WINDOWS = 1 << 20
+_WINDOWS = 1 << 16  # looked at together; their places fit in _PLACE
+_PLACE = np.uint64((1 << 18) - 1)
 _ROWS = 200_000
 _KEY = ["doc_id", "text_hash"]
 
@@ -22,49 +23,43 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def runs_of(data: np.ndarray, length: int) -> dict[str, np.ndarray]:
-    """Runs of neighbouring windows of ``length`` bytes that share their least ``LEAD``-byte string.
+def runs_of(data: np.ndarray, ends: np.ndarray, length: int) -> dict[str, np.ndarray]:
+    """Runs of neighbouring windows of ``length`` bytes whose least ``LEAD``-byte string is at one place, the leftmost.
 
-    Equal windows have equal leads, at the same place (``anchor``, from the start of the run).
-    ``text`` identifies the bytes that a run covers, ``tied`` tells that its lead stands in them more
-    than once, so that the place is not one.
+    ``data`` is a row of texts, ``ends`` where each place's text ends; windows lie within a text.
+    Equal windows have equal leads at the same distance: ``anchor`` is that from the start of the
+    run. ``text`` identifies the bytes that the run covers.
     """
-    heads = window_hashes(data, length)
     grams = window_hashes(data, LEAD)
-    reach = length - LEAD + 1
-    least = sliding_min(grams, reach)
-    start = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-    size = np.diff(np.append(start, len(least)))
-    # Runs of periodic text may be long; pieces of up to ``length`` windows are known by their ends.
-    pieces = -(-size // length)
-    inside = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    start, size = np.repeat(start, pieces) + inside * length, np.repeat(size, pieces) - inside * length
-    size = np.minimum(size, length)
-    lead = least[start]
-    edge = np.zeros(reach - 1, np.uint64)
-    places = np.flatnonzero(~sliding_min(~np.concatenate((edge, least, edge)), reach) == grams)
-    values, rank = np.unique(grams[places], return_inverse=True)
-    keys = np.sort(rank << 40 | places)
-    sought = np.searchsorted(values, lead) << 40 | start
-    at = np.searchsorted(keys, sought)
-    tied = np.searchsorted(keys, sought + size + reach - 2, "right") - at > 1
-    anchor = (keys[at] & ((1 << 40) - 1)) - start
-    ends = heads[start + size - 1]
-    text = heads[start] ^ ((ends << np.uint64(23)) | (ends >> np.uint64(41))) ^ size.astype(np.uint64)
-    return {"start": start, "n": size, "anchor": anchor, "lead": _signed(lead), "text": _signed(text), "tied": tied}
+    keys = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
+    least = (sliding_min(keys, length - LEAD + 1) & _PLACE).astype(np.int64)
+    inside = np.arange(len(least)) + length <= ends[: len(least)]
+    start = np.flatnonzero(inside & np.concatenate(([True], (least[1:] != least[:-1]) | ~inside[:-1])))
+    stop = np.append(start[1:], len(least))
+    size = np.cumsum(np.append(0, inside))[stop] - np.cumsum(np.append(0, inside))[start]
+    place = least[start]
+    # The covered bytes as strings of LEAD bytes, one after the other and one at the end.
+    last = start + size - 1 + length - LEAD
+    text = grams[last] + size.astype(np.uint64)
+    for step in range(0, 2 * length - LEAD, LEAD):
+        text = mix(text + grams[np.minimum(start + step, last)])
+    return {"start": start, "n": size, "anchor": place - start, "lead": _signed(grams[place]), "text": _signed(text)}
 
 
 def _runs(length: int):
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for doc_id, text_hash, text in zip(batch["doc_id"], batch["text_hash"], batch["text"], strict=True):
-                data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-                for at in range(0, len(data) - length + 1, _WINDOWS):
-                    found = pd.DataFrame(runs_of(data[at : at + _WINDOWS + length - 1], length))
-                    found["start"] += at
-                    found.insert(0, "text_hash", text_hash)
-                    found.insert(0, "doc_id", doc_id)
-                    yield found
+            texts = [t.encode("utf-8", "surrogatepass") for t in batch["text"]]
+            sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+            data = np.frombuffer(b"".join(texts), np.uint8)
+            owner = np.repeat(np.arange(len(texts)), sizes)
+            end = np.cumsum(sizes)
+            for at in range(0, len(data) - length + 1, _WINDOWS):
+                part = slice(at, at + _WINDOWS + length - 1)
+                found = runs_of(data[part], end[owner[part]] - at, length)
+                of_text = owner[found["start"] + at]
+                found["start"] += at - (end - sizes)[of_text]
+                yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy()[of_text], "text_hash": batch["text_hash"].to_numpy()[of_text]} | found)
 
     return of
 
@@ -96,9 +91,9 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     ``whole``: the text occurs again, so all its windows are repeated. ``deeper``: its lead has
     other texts too, so that parts may be; of equal texts one is looked at. ``single``: the same,
-    but windows must be compared one by one, because the lead has no one place, or because the
-    piece lies at either end of what is seen here and its equals may lie beyond. A lead that stands
-    alone has no equals, and its piece is done with.
+    but windows must be compared one by one, because the piece lies at either end of what is seen
+    here and its equals may lie beyond. A lead that stands alone has no equals, and its piece is
+    done with.
     """
     for rows in _chunks(batches):
         lead, text = rows["lead"].to_numpy(), rows["text"].to_numpy()
@@ -106,8 +101,7 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         group, sort = np.cumsum(new_lead) - 1, np.cumsum(new_text) - 1
         whole = np.bincount(sort)[sort] > 1
         several = np.bincount(group[new_text])[group] > 1
-        tied = np.bincount(group, weights=rows["tied"].to_numpy())[group] > 0
-        unsure = tied | (group == 0) | (group == group[-1])
+        unsure = (group == 0) | (group == group[-1])
         rows["whole"], rows["single"], rows["deeper"] = whole, unsure & new_text, several & new_text & ~unsure
         yield rows.loc[rows["whole"] | rows["single"] | rows["deeper"], [*_KEY, "start", "n", "anchor", "whole", "single", "deeper"]]
 
@@ -147,18 +141,20 @@ def _blocks(length: int):
         place = start + anchor
         low, high = (anchor - n + 1) // BLOCK, anchor // BLOCK
         count = high - low + 1
-        run = np.repeat(np.arange(len(start)), count)
-        step = _ranges(low, count)  # part of the lead: neighbouring runs may cut the same block
-        last = place[run] - step * BLOCK  # the block's last window
+        # Runs that meet at the end of what was looked at together have blocks in common.
+        known = np.unique(np.repeat(place, count) << 16 | _ranges(low, count))
+        place, step = known >> 16, known & 0xFFFF
+        last = place - step * BLOCK  # the block's last window
         first = last - (BLOCK - 1)
+        # The step is part of the lead: neighbouring runs may cut the same block.
         core = mix(window_hashes(data, length - BLOCK + 1)[last] + step.astype(np.uint64))
         covered = window_hashes(data, length + BLOCK - 1)
         inside = (first >= 0) & (first < len(covered))
         own = mix(core + last.astype(np.uint64)) ^ np.int64(text_hash).view(np.uint64)  # at the edge of a text: as in equal texts only
         text = np.where(inside, covered[np.clip(first, 0, max(0, len(covered) - 1))], own) if len(covered) else own
-        begin = np.maximum(first, start[run])
-        size = np.minimum(last, (start + n - 1)[run]) - begin + 1
-        return {"start": begin, "n": size, "anchor": place[run] - begin, "lead": _signed(core), "text": _signed(text), "tied": np.zeros(len(run), bool)}
+        begin = np.maximum(first, 0)
+        size = np.minimum(last, len(data) - length) - begin + 1
+        return {"start": begin, "n": size, "anchor": place - begin, "lead": _signed(core), "text": _signed(text)}
 
     return of
 
@@ -210,7 +206,7 @@ def repeated_spans(docs: DataFrame, *, length: int = 200) -> DataFrame:
     parts = width(spark)
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"))
     piece = "start int, n smallint, anchor smallint"
-    found = f"{piece}, lead bigint, text bigint, tied boolean"
+    found = f"{piece}, lead bigint, text bigint"
     runs = materialized(texts.mapInPandas(_runs(length), _typed(docs, found)), "runs")
     judged = materialized(_judged(runs, parts, _typed(docs, f"{piece}, whole boolean, single boolean, deeper boolean")), "judged")
 
