@@ -108,8 +108,8 @@ def digest(data: bytes, grade: np.ndarray, ranks: np.ndarray) -> list[np.ndarray
     return filters
 
 
-def as_text(filters: list[np.ndarray]) -> str:
-    return "".join(np.packbits(f).tobytes().hex() for f in filters)
+def as_bytes(filters: list[np.ndarray]) -> bytes:
+    return b"".join(np.packbits(f).tobytes() for f in filters)
 
 
 def likeness(one: list[np.ndarray], other: list[np.ndarray]) -> float:
@@ -163,12 +163,12 @@ def rarity_ranks(docs: DataFrame, text: str = "text") -> np.ndarray:
 def fingerprint(text: str | Column, ranks: np.ndarray) -> Column:
     """The chained filters of each text in hexadecimal; null and empty texts give the empty string."""
 
-    @pandas_udf("string")
+    @pandas_udf("binary")
     def of(texts: pd.Series) -> pd.Series:
         data = [_bytes(t or "") for t in texts]
-        return pd.Series([as_text(digest(d, g, ranks)) for d, g in zip(data, _graded(data), strict=True)])
+        return pd.Series([as_bytes(digest(d, g, ranks)) for d, g in zip(data, _graded(data), strict=True)], dtype=object)
 
-    return of(text)
+    return F.lower(F.hex(of(text)))
 
 
 def _edited(text: str, following: str) -> str:
@@ -176,7 +176,7 @@ def _edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-_RESULT = "n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_RESULT = "n_chars bigint, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def _pairs(rows: list[tuple[object, str, str]], ranks: np.ndarray) -> list[tuple]:
@@ -191,7 +191,7 @@ def _pairs(rows: list[tuple[object, str, str]], ranks: np.ndarray) -> list[tuple
     out = []
     for (key, text, _), a, e, b, grade in zip(rows, texts, edited, nexts, _graded(edited), strict=True):
         changed = digest(e, grade, ranks)
-        out.append((key, len(text), hashlib.sha256(e).hexdigest(), as_text(held[a]), as_text(changed), likeness(held[a], changed), likeness(held[a], held[b])))
+        out.append((key, len(text), hashlib.sha256(e).hexdigest(), as_bytes(held[a]), as_bytes(changed), likeness(held[a], changed), likeness(held[a], held[b])))
     return out
 
 
@@ -241,7 +241,8 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
             yield edge("last", last, part)
 
     found = materialized(rows.mapInPandas(follow, f"doc_id {kind}, {_RESULT}, edge string, part int, text string"), "digests")
-    done = found.where("edge is null").select(*names)
+    shown = [F.lower(F.hex(c)).alias(c) if c.endswith("fingerprint") else F.col(c) for c in names]  # bits are stored, half as long
+    done = found.where("edge is null").select(*shown)
     parts = sorted(r["part"] for r in found.where("edge = 'first'").select("part").collect())  # one for each task
     if not parts:
         return done
@@ -254,4 +255,4 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame(_pairs(list(zip(batch["doc_id"], batch["text"], batch["following"], strict=True)), ranks), columns=names)
 
     met = ends.join(heads, "next").select("doc_id", "text", "following").mapInPandas(pair, f"doc_id {kind}, {_RESULT}")
-    return done.unionByName(met)
+    return done.unionByName(met.select(*shown))
