@@ -20,6 +20,7 @@ _RAW = frozenset("script style textarea title xmp iframe noembed noframes".split
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span strike "
     "strong sub sup time tt u var".split())
+_UNSEEN = frozenset("script style template img input link meta wbr source track area embed param base".split())  # break no line
 _CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
     "hr main menu nav ol p pre section summary table ul".split())
@@ -100,7 +101,7 @@ def pieces(page: str) -> list[tuple[int, str, str]]:
         if token["name"] is None:
             continue
         name = token["name"].lower()
-        if name not in _INLINE:
+        if name not in _INLINE and name not in _UNSEEN:
             block += 1
         path = None
         if token["end"]:

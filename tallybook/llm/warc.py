@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import small_batches
+from tallybook.llm.common import materialized, small_batches
 
 # Names and values of the format. Fixed values.
 VERSION = "WARC/1.1"
@@ -22,6 +22,7 @@ _END = "\r\n\r\n"
 
 _RECORD_ID = "urn:page:"
 _BYTES = "X-Payload-Bytes"  # revisits carry no payload; an extension header keeps its length
+_MOST_SENT = 100_000  # rows of 60 bytes or so
 RECORDS = (
     "file string, start bigint, end bigint, reason string, type string, record_id string, uri string, "
     "refers_to string, payload_digest string, payload_bytes bigint, payload binary"
@@ -49,7 +50,10 @@ def write_warc(pages: DataFrame, path: str, *, least: int = 1000, date: str = "2
     payload = F.coalesce("html", F.lit(""))
     rows = pages.select("page_id", "url", payload.alias("payload"), F.sha1(payload.cast("binary")).alias("digest"), F.octet_length(payload).alias("bytes"))
     tops = rows.where(F.col("bytes") >= least).groupBy("digest").agg(F.max("page_id").alias("top"), F.count("*").alias("n"))
-    rows = rows.join(tops.where("n > 1"), "digest", "left")
+    tops = materialized(tops.where("n > 1").select("digest", "top"), "tops")
+    if tops.count() <= _MOST_SENT:  # else the pages are dealt out by digest
+        tops = F.broadcast(tops)
+    rows = rows.join(tops, "digest", "left")
     revisit = F.col("top").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("top"))
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit(_END))

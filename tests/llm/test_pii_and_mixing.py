@@ -1,0 +1,124 @@
+"""Personal data against plain regular expressions; mixing against its own constraints."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallybook.llm import mixing, pii
+
+PATTERNS = [
+    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    r"[0-9]([\x20-]?[0-9])+",
+    r"\+[0-9][\x20().0-9-]+[0-9]",
+]
+
+
+def slow_spans(text):
+    out = []
+    for rank, (kind, pattern) in enumerate(zip(pii.KINDS, PATTERNS, strict=True)):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and any(int(p) > 255 for p in m[0].split(".")):
+                continue
+            if kind == "card":
+                total = sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(digits[::-1]))
+                if not 12 <= len(digits) <= 19 or total % 10:
+                    continue
+            if kind == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            out.append((m.start(), rank, m.end(), kind))
+    return ",".join(f"{k}:{s}:{e}" for s, _, e, k in sorted(out))
+
+
+def base_text(rows):
+    return rows.select("doc_id", "text", pii.span_text(pii.base_spans(F.col("text"))).alias("spans")).collect()
+
+
+def test_base_spans_equal_regular_expressions(spark):
+    draw = random.Random(3)
+    pieces = ["a@b.c", "@", ".", "1.2.3.4", "256.1.1.1", "4111 1111 1111 1111", "-", " ", "+1 (555) 010-9999", "+", "7", "é", "\U0001F600", "x_y%z", "\n", "00", "("]
+    rows = [(i, "".join(draw.choice(pieces) for _ in range(draw.randint(0, 40)))) for i in range(400)]
+    rows += [(900, None), (901, ""), (902, "9" * 30_000), (903, "1-" * 20_000 + "a@b"), (904, "a" * 40_000 + "@b.c" + ".d" * 9_000)]
+    for row in base_text(spark.createDataFrame(rows, "doc_id long, text string")):
+        assert row.spans == slow_spans(row.text), row.doc_id
+
+
+def test_terms_that_disclose_an_entity(spark):
+    noise = [(i, f"plain report number {i} by the corpus for all seen on") for i in range(200)]
+    told = [(1000 + i, f"report {i} by Zanzibar Falcon jo@corp.example for the {w}") for i, w in enumerate(["first", "second", "third", "fourth"])]
+    partly = [(2000 + i, f"seen: Marigold kim@corp.example on {w}") for i, w in enumerate(["monday", "tuesday", "friday"])] + [(2100 + i, "a Marigold grows") for i in range(2)]
+    rows = noise + told + partly + [(3000, None), (3001, "one lone@corp.example Unicorn"), (3001, "one lone@corp.example Unicorn"), (None, "no data")]
+    docs = spark.createDataFrame([(i, t, "clash", "clash") for i, t in rows], "doc_id long, text string, pii_spans string, key string")
+    found = pii.find_personal_data(docs)
+    clean = {(r.doc_id, r.text): r.clean for r in found.select("doc_id", "text", pii.sanitised(F.col("text"), F.col("pii_spans")).alias("clean")).collect()}
+    assert found.count() == len(rows) and found.columns == ["doc_id", "text", "key", "pii_spans"]
+    assert clean[(1000, told[0][1])] == "report 0 by [TERM] [TERM] [EMAIL] for the first"
+    assert clean[(2000, partly[0][1])].startswith("seen: M. [EMAIL] on")
+    assert clean[(3001, "one lone@corp.example Unicorn")] == "one [EMAIL] Unicorn"
+    assert clean[(3000, None)] is None and clean[(None, "no data")] == "no data" and clean[noise[0]] == noise[0][1]
+    assert pii.find_personal_data(docs.where("false")).collect() == []
+
+
+def test_overlapping_spans_become_one(spark):
+    rows = spark.createDataFrame([(1, "call +378282246310005 now")], "doc_id long, text string")
+    spans = pii.base_spans(F.col("text"))
+    acted = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"), F.lit("remove").alias("action")))
+    text = rows.select(pii.sanitised(F.col("text"), acted)).first()[0]
+    assert text == "call [PHONE] now"
+
+
+def slow_targets(sizes, share=1.5, most=2.0):
+    weights = {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted(sizes, key=lambda s: (s is None, (s or "").encode())))}
+    total, full = share * sum(sizes.values()), {}
+    while True:
+        left, weighing = total - sum(full.values()), sum(w for s, w in weights.items() if s not in full)
+        over = {s: most * sizes[s] for s in sizes if s not in full and left * weights[s] / weighing >= most * sizes[s]}
+        if not over:
+            return {s: full.get(s, left * weights[s] / weighing if weighing else 0.0) for s in sizes}
+        full |= over
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    draw = random.Random(9)
+    rows = [(i, " ".join(["w"] * int(draw.expovariate(1 / 60))), draw.choice(["a", "b", "c", "Z", "é", None, "hot", "hot", "hot"])) for i in range(1500)]
+    return rows + [(None, "x y z", "a"), (None, "x y z", "a"), (7, None, "b"), (8, "", "empty"), (9, "w " * 5000, "c")]
+
+
+def test_mix_meets_its_targets(spark, corpus):
+    docs = spark.createDataFrame([(i, t, s, 1, "clash") for i, t, s in corpus], "doc_id long, text string, source string, target int, bucket string")
+    rows = mixing.mix_sources(docs).collect()
+    assert len(rows) == len(corpus)
+    sizes, taken = {}, {}
+    for _, t, s in corpus:
+        sizes[s] = sizes.get(s, 0) + len((t or "").split())
+    want = slow_targets(sizes)
+    for r in rows:
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(want[r.source])
+        assert 0 <= r.taken == r.copies * r.size <= 2 * r.size
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    for s, t in want.items():
+        assert abs(taken[s] - t) <= max(3, 0.002 * t), s
+    again = mixing.mix_sources(docs.repartition(7)).collect()
+    def key(r):
+        return tuple(map(str, r))
+    assert sorted(map(key, rows)) == sorted(map(key, again))
+
+
+def test_tilt_solves_the_dual(spark, corpus):
+    docs = spark.createDataFrame(corpus, "doc_id long, text string, source string")
+    sums = {}
+    for r in mixing.mix_sources(docs).collect():
+        words, target = sums.get(r.source, (0.0, 0.0))[0] + r.rate * r.size, r.target
+        sums[r.source] = (words, target)
+    for words, target in sums.values():
+        assert words == pytest.approx(target, abs=2)
+
+
+def test_mix_of_nothing(spark):
+    assert mixing.mix_sources(spark.createDataFrame([], "doc_id long, text string, source string")).collect() == []
+    rows = mixing.mix_sources(spark.createDataFrame([(1, None, None), (2, "", "a")], "doc_id long, text string, source string")).collect()
+    assert sorted((r.doc_id, r.size, r.target, r.taken) for r in rows) == [(1, 0, 0.0, 0), (2, 0, 0.0, 0)]
