@@ -42,6 +42,7 @@ def main() -> None:
     spark = build_session(
         "tallybook-bench",
         master=f"local[{cpus}]",
+        initial_partitions=int(cpus),
         extra={
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
             "spark.sql.shuffle.partitions": cpus,

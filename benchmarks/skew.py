@@ -73,7 +73,7 @@ def stage_times(log_dir: str) -> dict[tuple[str, int], list[int]]:
 def main(rows: int) -> None:
     base = tempfile.mkdtemp(prefix="tallybook-skew-")
     logs = tempfile.mkdtemp(prefix="tallybook-skew-log-")
-    spark = build_session("tallybook-skew", master="local[8]", extra={
+    spark = build_session("tallybook-skew", master="local[8]", initial_partitions=64, extra={
         "spark.driver.memory": "16g",
         "spark.sql.shuffle.partitions": "64",
         "spark.ui.showConsoleProgress": "false",

@@ -6,7 +6,7 @@ scale and round in binary instead differ in the last place now and then.
 
 from __future__ import annotations
 
-from registry.queries import DAY, EVE, FIRST_DELIVERY_TO, REDELIVERY_FROM, WEEKEND
+from registry.queries import DAY, EVE, FIRST_DELIVERY_TO, PAYOUT_SUMS, REDELIVERY_FROM, WEEKEND
 
 
 def half_up(value: str, scale: int = 8) -> str:
@@ -27,7 +27,7 @@ tx AS (
          CAST(CASE WHEN event_type IN ('purchase', 'error') THEN -{money('value')}
               ELSE {money('value')} END AS DECIMAL(18,2)) AS amount,
          CAST(ts AS DATE) AS date,
-         event_type AS channel
+         event_type AS channel, event_id
   FROM events)"""
 
 TX_ORDERS = f"""
@@ -36,19 +36,16 @@ tx AS (
          o_orderdate AS event_time,
          CAST(CASE WHEN o_orderstatus = 'F' THEN -{money('o_totalprice')}
               ELSE {money('o_totalprice')} END AS DECIMAL(18,2)) AS amount,
-         CAST(o_orderdate AS DATE) AS date
+         CAST(o_orderdate AS DATE) AS date, o_orderkey AS order_id
   FROM orders)"""
 
 
 def _rates(table: str, time: str) -> str:
     return f"""
-days AS (
-  SELECT CAST(unnest(generate_series(
-           CAST(min({time}) AS DATE), CAST(max({time}) AS DATE), INTERVAL 1 DAY)) AS DATE) AS date
-  FROM {table}),
 rates AS (
-  SELECT date, CAST(400 + day(date) AS DOUBLE) / CAST(10000 AS DOUBLE) AS valor
-  FROM days WHERE isodow(date) <= 5)"""
+  SELECT CAST({time} AS DATE) AS date,
+         CAST(400 + count(*) % 100 AS DOUBLE) / CAST(10000 AS DOUBLE) AS valor
+  FROM {table} GROUP BY CAST({time} AS DATE) HAVING isodow(CAST({time} AS DATE)) <= 5)"""
 
 
 RATES = _rates("events", "ts")
@@ -67,12 +64,10 @@ kept AS (
     FROM tx) WHERE rn = 1)"""
 
 MERGED_TX = f"""
-target AS (SELECT * FROM tx WHERE date <= DATE '{FIRST_DELIVERY_TO}'),
+target AS (SELECT * FROM tx WHERE event_id % 3 <> 0),
 source AS (
   SELECT user_id, account_id, event_time, CAST(amount + 1 AS DECIMAL(18,2)) AS amount, date
-  FROM (SELECT *, row_number() OVER (
-          PARTITION BY account_id, event_time ORDER BY user_id DESC, amount DESC) AS rn
-        FROM tx WHERE date >= DATE '{REDELIVERY_FROM}') WHERE rn = 1),
+  FROM tx WHERE event_id % 3 <> 1),
 merged AS (
   SELECT t.user_id, t.account_id, t.event_time, t.amount, t.date, t.channel,
          CAST(NULL AS VARCHAR) AS note
@@ -219,12 +214,32 @@ def _chain(tx: str, rates: str, select: str = "SELECT * FROM payouts", more: str
     return f"WITH RECURSIVE {tx}, {rates}, {CHAIN} {more} {select}"
 
 
+_REVISED = f"(date >= DATE '{REDELIVERY_FROM}' AND CAST(user_id AS BIGINT) % 3 <> 1)"
 MERGED_PAYOUTS = f"""
 SELECT user_id, account_id, saldo_a_mais_24_horas, movimentacao_dia, saldo_elegivel,
        juros_calculado,
-       CASE WHEN date >= DATE '{REDELIVERY_FROM}' THEN saldo_final + CAST(1 AS DOUBLE)
-            ELSE saldo_final END AS saldo_final, date
-FROM payouts"""
+       CASE WHEN {_REVISED} THEN saldo_final + CAST(1 AS DOUBLE) ELSE saldo_final END
+         AS saldo_final, date
+FROM payouts
+WHERE {_REVISED} OR (date <= DATE '{FIRST_DELIVERY_TO}' AND CAST(user_id AS BIGINT) % 3 <> 0)"""
+
+
+def _merged_orders(latest: bool) -> str:
+    """Every stored row that matches gives way to its source rows, once for each."""
+    chosen = """QUALIFY row_number() OVER (
+        PARTITION BY account_id, event_time ORDER BY amount DESC) = 1""" if latest else ""
+    return f"""WITH {TX_ORDERS},
+target AS (SELECT * FROM tx WHERE order_id % 3 <> 0),
+source AS (
+  SELECT user_id, account_id, event_time, CAST(amount + 1 AS DECIMAL(18,2)) AS amount, date, order_id
+  FROM tx WHERE order_id % 3 <> 1 {chosen}),
+merged AS (
+  SELECT t.* FROM target t ANTI JOIN source s
+    ON t.account_id = s.account_id AND t.event_time = s.event_time
+  UNION ALL
+  SELECT s.* FROM source s LEFT JOIN target t
+    ON t.account_id = s.account_id AND t.event_time = s.event_time)
+SELECT {TX_COLUMNS} FROM merged"""
 
 
 def _quality(keys: str) -> str:
@@ -254,7 +269,7 @@ ORACLES: dict[str, str] = {
     "scan_curated": f"WITH {TX}, {LATEST_TX} SELECT {TX_COLUMNS} FROM kept",
     "rates_from_records": f"""WITH {TX}, {RATES}
         SELECT tx.date, rates.valor, count(*) AS movements, CAST(SUM(amount) AS DOUBLE) AS amount
-        FROM tx JOIN rates ON tx.date = rates.date GROUP BY tx.date, rates.valor""",
+        FROM tx LEFT JOIN rates ON tx.date = rates.date GROUP BY tx.date, rates.valor""",
     "table_exists": """SELECT 'transactions' AS table_name, CAST(1 AS BIGINT) AS present,
         count(*) AS stored_rows FROM events
         UNION ALL SELECT 'payouts', CAST(0 AS BIGINT), CAST(0 AS BIGINT)""",
@@ -271,6 +286,8 @@ ORACLES: dict[str, str] = {
              ELSE valor END AS valor FROM rates""",
     "merge_payouts": _chain(TX, RATES, MERGED_PAYOUTS),
     "merge_evolve": f"WITH {TX}, {MERGED_TX} SELECT {TX_COLUMNS}, channel, note FROM merged",
+    "merge_orders_keep_all": _merged_orders(latest=False),
+    "merge_orders_latest": _merged_orders(latest=True),
     "merge_idempotent": f"WITH {TX}, {MERGED_TX} SELECT {TX_COLUMNS} FROM merged",
     "overwrite_partitions": f"""WITH {TX} SELECT user_id, account_id,
         strftime(event_time, {STAMP}) AS event_time,
@@ -303,7 +320,10 @@ ORACLES: dict[str, str] = {
              - CAST(floor(epoch(horario_saldo_elegivel)) AS BIGINT) AS DOUBLE)
           / CAST(3600 AS DOUBLE) AS hours FROM lagged""",
     "union_days": f"""WITH {TX}, {ACTIVITY} SELECT user_id, account_id, event_date,
-        movimentacao_dia, strftime(event_time, {STAMP}) AS event_time FROM activity""",
+        movimentacao_dia, strftime(event_time, {STAMP}) AS event_time FROM activity
+        UNION ALL SELECT user_id, account_id, event_date,
+        movimentacao_dia, strftime(event_time, {STAMP}) AS event_time FROM activity
+        WHERE event_date BETWEEN DATE '{REDELIVERY_FROM}' AND DATE '{EVE}'""",
     "ledger": _ledger(TX, RATES),
     "ledger_one_account": _ledger(TX, RATES, BUSIEST),
     "ledger_from_date": _ledger(
@@ -317,16 +337,21 @@ ORACLES: dict[str, str] = {
     "daily_interest": _snapshot("user_id, account_id, juros_calculado"),
     "closing_balance": _snapshot("user_id, account_id, saldo_final"),
     "snapshot_no_rate":
-        f"WITH {TX}, {RATES}, {_day_payouts('today', WEEKEND, None)} SELECT * FROM today",
+        f"""WITH {TX}, {RATES}, {_day_payouts('none', WEEKEND, None)},
+        {_day_payouts('today', DAY, None)} SELECT * FROM none UNION ALL SELECT * FROM today""",
     "snapshot_chain": _chain(TX, RATES),
-    "snapshot_chain_orders": _chain(TX_ORDERS, RATES_ORDERS, """
+    "snapshot_chain_orders": _chain(TX_ORDERS, RATES_ORDERS, f"""
         SELECT date, count(*) AS accounts,
                count(*) FILTER (WHERE saldo_elegivel > 0) AS eligible_accounts,
                max(saldo_a_mais_24_horas) AS top_opening, max(juros_calculado) AS top_interest,
-               min(saldo_final) AS low_closing, max(saldo_final) AS top_closing
+               min(saldo_final) AS low_closing, max(saldo_final) AS top_closing,
+               {", ".join(f"CAST(SUM(CAST({c} AS DECIMAL(28,8))) AS VARCHAR) AS sum_{c}" for c in PAYOUT_SUMS)}
         FROM payouts GROUP BY date"""),
     "curate_day": _curated(DAY, EVE, WEEKEND),
     "curate_no_data": _curated(DAY),
+    "curate_evolved": f"""WITH {TX} SELECT {TX_COLUMNS}, channel FROM tx
+        WHERE date IN (DATE '{EVE}', DATE '{DAY}')""",
+    "curate_orders": f"WITH {TX_ORDERS} SELECT {TX_COLUMNS} FROM tx",
     "curate_arrivals": f"WITH {TX}, {LATEST_TX} SELECT {TX_COLUMNS} FROM kept",
     "payouts_of_days": _chain(
         TX, RATES, f"SELECT * FROM payouts WHERE date <= DATE '{DAY}'"),

@@ -20,7 +20,7 @@ from tallybook.operators.ledger import ledger, ledger_report
 from tallybook.operators.merge import merge_upsert, upsert_partitioned, upsert_table
 from tallybook.operators.quality import dedup_latest, key_quality
 from tallybook.operators.snapshot import daily_snapshot
-from tallybook.plans.curate import curate_day, curate_rate_day
+from tallybook.plans.curate import curate_day, curate_rate_day, curate_transactions_day
 from tallybook.plans.payouts import payouts_day, payouts_range
 from tallybook.plans.zones import Zones
 from tallybook.schemas import (
@@ -48,6 +48,8 @@ AFTER_DATA = dt.date(2024, 3, 1)
 REDELIVERY_FROM = dt.date(2024, 1, 11)
 FIRST_DELIVERY_TO = dt.date(2024, 1, 20)
 
+PAYOUT_SUMS = ("movimentacao_dia", "juros_calculado", "saldo_final")
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -84,13 +86,18 @@ def _zones(spark: SparkSession, name: str) -> Zones:
     return Zones(fresh_dir(spark, name))
 
 
-def _first_delivery(tx: DataFrame) -> DataFrame:
-    return tx.where(F.col("date") <= F.lit(FIRST_DELIVERY_TO))
+def _corrected(tx: DataFrame) -> DataFrame:
+    return tx.withColumn("amount", (F.col("amount") + F.lit(1)).cast("decimal(18,2)"))
+
+
+def _deliveries(tx: DataFrame, number: str) -> tuple[DataFrame, DataFrame]:
+    """Two thirds of the rows, then two thirds with a correction: every day has rows that are
+    kept, updated and inserted."""
+    return tx.where(F.col(number) % 3 != 0), _corrected(tx.where(F.col(number) % 3 != 1))
 
 
-def _redelivery(tx: DataFrame) -> DataFrame:
-    corrected = (F.col("amount") + F.lit(1)).cast("decimal(18,2)")
-    return tx.where(F.col("date") >= F.lit(REDELIVERY_FROM)).withColumn("amount", corrected)
+def _numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample.transactions_from_events(spark, sf_dir).withColumn("date", F.to_date("event_time"))
 
 
 def _eve_payouts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,12 +135,12 @@ def scan_curated(spark, sf_dir):
 
 @query("rates_from_records")
 def rates_from_records(spark, sf_dir):
-    records = sample.rate_records(dt.date(2024, 1, 1), dt.date(2024, 1, 31))
+    records = sample.rate_records(sample.rates(spark, sf_dir))
     by_day = rate_source.rates_from_records(spark, records)
     days = sample.dated_transactions(spark, sf_dir).groupBy("date").agg(
         F.count(F.lit(1)).alias("movements"), F.sum("amount").cast("double").alias("amount")
     )
-    return days.join(by_day.withColumnRenamed("data", "date"), "date").select(
+    return days.join(by_day.withColumnRenamed("data", "date"), "date", "left").select(
         "date", "valor", "movements", "amount"
     )
 
@@ -199,10 +206,11 @@ def write_rates(spark, sf_dir):
 @query("merge_transactions")
 def merge_transactions(spark, sf_dir):
     zones = _zones(spark, "merge")
-    tx = sample.dated_transactions(spark, sf_dir)
-    sinks.write_partitioned(_first_delivery(tx), zones.transactions)
+    first, second = _deliveries(_numbered_events(spark, sf_dir), "event_id")
+    columns = CURATED_TRANSACTIONS.fieldNames()
+    sinks.write_partitioned(first.select(*columns), zones.transactions)
     upsert_partitioned(
-        spark, zones.transactions, _redelivery(tx), TRANSACTION_KEY, CURATED_TRANSACTIONS
+        spark, zones.transactions, second.select(*columns), TRANSACTION_KEY, CURATED_TRANSACTIONS
     )
     return _comparable(read_table(spark, zones.transactions, CURATED_TRANSACTIONS))
 
@@ -225,10 +233,11 @@ def merge_payouts(spark, sf_dir):
     payouts = snapshot_chain(
         sample.dated_transactions(spark, sf_dir), sample.rates(spark, sf_dir)
     )
+    third = F.col("user_id").cast("long") % 3
     sinks.write_partitioned(
-        payouts.where(F.col("date") <= F.lit(FIRST_DELIVERY_TO)), zones.payouts
+        payouts.where((F.col("date") <= F.lit(FIRST_DELIVERY_TO)) & (third != 0)), zones.payouts
     )
-    revised = payouts.where(F.col("date") >= F.lit(REDELIVERY_FROM)).withColumn(
+    revised = payouts.where((F.col("date") >= F.lit(REDELIVERY_FROM)) & (third != 1)).withColumn(
         "saldo_final", F.col("saldo_final") + F.lit(1.0)
     )
     upsert_partitioned(
@@ -242,24 +251,43 @@ def merge_payouts(spark, sf_dir):
 
 @query("merge_evolve")
 def merge_evolve(spark, sf_dir):
-    tx = sample.transactions_from_events(spark, sf_dir).withColumn(
-        "date", F.to_date("event_time")
-    )
-    source = _redelivery(tx).drop("channel").withColumn("note", F.lit("redelivered"))
+    first, second = _deliveries(_numbered_events(spark, sf_dir), "event_id")
+    source = second.drop("channel", "event_id").withColumn("note", F.lit("redelivered"))
     merged = merge_upsert(
-        _first_delivery(tx), source, TRANSACTION_KEY, on_duplicate="latest"
+        first.drop("event_id"), source, TRANSACTION_KEY, on_duplicate="latest", latest_by=["amount"]
     )
     return _comparable(merged)
 
 
+def _merged_orders(spark, sf_dir, **policy) -> DataFrame:
+    """Orders repeat keys, in the stored rows and in the delivery."""
+    orders = sample.numbered_orders(spark, sf_dir).withColumn("date", F.to_date("event_time"))
+    first, second = _deliveries(orders, "order_id")
+    columns = CURATED_TRANSACTIONS.fieldNames()
+    return _comparable(
+        merge_upsert(first.select(*columns), second.select(*columns), TRANSACTION_KEY, **policy)
+    )
+
+
+@query("merge_orders_keep_all")
+def merge_orders_keep_all(spark, sf_dir):
+    return _merged_orders(spark, sf_dir, on_duplicate="keep_all")
+
+
+@query("merge_orders_latest")
+def merge_orders_latest(spark, sf_dir):
+    return _merged_orders(spark, sf_dir, on_duplicate="latest", latest_by=["amount"])
+
+
 @query("merge_idempotent")
 def merge_idempotent(spark, sf_dir):
     zones = _zones(spark, "merge-twice")
-    tx = sample.dated_transactions(spark, sf_dir)
-    sinks.write_partitioned(_first_delivery(tx), zones.transactions)
+    first, second = _deliveries(_numbered_events(spark, sf_dir), "event_id")
+    columns = CURATED_TRANSACTIONS.fieldNames()
+    sinks.write_partitioned(first.select(*columns), zones.transactions)
     for _ in range(2):
         upsert_partitioned(
-            spark, zones.transactions, _redelivery(tx), TRANSACTION_KEY, CURATED_TRANSACTIONS
+            spark, zones.transactions, second.select(*columns), TRANSACTION_KEY, CURATED_TRANSACTIONS
         )
     return _comparable(read_table(spark, zones.transactions, CURATED_TRANSACTIONS))
 
@@ -269,7 +297,8 @@ def overwrite_partitions(spark, sf_dir):
     zones = _zones(spark, "overwrite")
     tx = sample.dated_transactions(spark, sf_dir)
     sinks.write_partitioned(tx, zones.transactions)
-    sinks.overwrite_partitions(_redelivery(tx), zones.transactions)
+    late = tx.where(F.col("date") >= F.lit(REDELIVERY_FROM))
+    sinks.overwrite_partitions(_corrected(late), zones.transactions)
     return _comparable(read_table(spark, zones.transactions, CURATED_TRANSACTIONS))
 
 
@@ -368,6 +397,7 @@ def union_days(spark, sf_dir):
         act.activity_between(activity, to_date=EVE),
         act.activity_between(activity, DAY, DAY),
         activity.where(day > F.lit(DAY)),
+        act.activity_between(activity, REDELIVERY_FROM, EVE),  # delivered twice: both stay
     ]
     return _comparable(act.union_days(parts))
 
@@ -445,10 +475,10 @@ def closing_balance(spark, sf_dir):
 
 @query("snapshot_no_rate")
 def snapshot_no_rate(spark, sf_dir):
-    return daily_snapshot(
-        sample.dated_transactions(spark, sf_dir), sample.rates(spark, sf_dir),
-        empty_table(spark, PAYOUTS), WEEKEND,
-    )
+    """A day without a rate has no rows; those of a day with one stand beside it."""
+    tx, rates = sample.dated_transactions(spark, sf_dir), sample.rates(spark, sf_dir)
+    none, priced = (daily_snapshot(tx, rates, empty_table(spark, PAYOUTS), d) for d in (WEEKEND, DAY))
+    return none.unionByName(priced)
 
 
 @query("snapshot_chain")
@@ -471,6 +501,10 @@ def snapshot_chain_orders(spark, sf_dir):
         F.max("juros_calculado").alias("top_interest"),
         F.min("saldo_final").alias("low_closing"),
         F.max("saldo_final").alias("top_closing"),
+        *[
+            F.sum(F.col(c).cast("decimal(28,8)")).cast("decimal(38,8)").cast("string").alias(f"sum_{c}")
+            for c in PAYOUT_SUMS
+        ],
     )
 
 
@@ -506,6 +540,27 @@ def curate_no_data(spark, sf_dir):
     return _curated_with_rate(spark, zones)
 
 
+@query("curate_evolved")
+def curate_evolved(spark, sf_dir):
+    """A raw column that no schema declares; the second day is delivered without it at first."""
+    zones = _zones(spark, "evolved")
+    raw = sample.transactions_from_events(spark, sf_dir).drop("event_id")
+    raw.write.parquet(zones.raw_transactions)
+    curate_transactions_day(spark, zones, read_transactions(spark, zones.raw_transactions), EVE)
+    curate_transactions_day(spark, zones, sample.transactions(spark, sf_dir), DAY)
+    curate_transactions_day(spark, zones, read_transactions(spark, zones.raw_transactions), DAY)
+    return _comparable(read_table(spark, zones.transactions))
+
+
+@query("curate_orders")
+def curate_orders(spark, sf_dir):
+    """Movements of one account in the same instant all stay."""
+    zones = _zones(spark, "orders")
+    sample.transactions_from_orders(spark, sf_dir).write.parquet(zones.raw_transactions)
+    curate_arrivals(spark, zones, f"{zones.base}/progress").awaitTermination()
+    return _comparable(read_table(spark, zones.transactions, CURATED_TRANSACTIONS))
+
+
 @query("curate_arrivals")
 def curate_arriving_files(spark, sf_dir):
     zones = _zones(spark, "arrivals")

@@ -18,6 +18,13 @@ from tallybook.sources.workspace import materialized
 DUPLICATE_POLICIES = ("error", "keep_all", "latest")
 
 
+def check_policy(on_duplicate: str, latest_by: Sequence[str]) -> None:
+    if on_duplicate not in DUPLICATE_POLICIES:
+        raise ValueError(f"on_duplicate must be one of {DUPLICATE_POLICIES}")
+    if on_duplicate == "latest" and not latest_by:
+        raise ValueError("latest needs latest_by: columns that tell which row is the latest")
+
+
 def merge_upsert(
     target: DataFrame,
     source: DataFrame,
@@ -34,10 +41,9 @@ def merge_upsert(
 
     * ``error``: fail if several match one target row, insert all of them otherwise
     * ``keep_all``: all of them replace the matched row
-    * ``latest``: only the one with the greatest ``latest_by`` counts
+    * ``latest``: only the one with the greatest ``latest_by`` counts, which must be given
     """
-    if on_duplicate not in DUPLICATE_POLICIES:
-        raise ValueError(f"on_duplicate must be one of {DUPLICATE_POLICIES}")
+    check_policy(on_duplicate, latest_by)
     keys = list(keys)
     source_only = [c for c in source.columns if c not in target.columns]
     row = F.struct(*source.columns).alias("new")
@@ -76,7 +82,7 @@ def merge_upsert(
         ).alias(name)
 
     updated = joined.select(*[chosen(c) for c in target.columns + source_only])
-    known = keyed_target.select(*keys).distinct()
+    known = keyed_target.select(*keys)
     inserted = keyed_source.join(known, keys, "left_anti").select(*source.columns)
     # Rows with a NULL key skip the joins, where they would all hash to one task.
     return (
@@ -115,7 +121,7 @@ def upsert_partitioned(
     *,
     partition: str = "date",
     days: DataFrame | Sequence[dt.date] | None = None,
-    on_duplicate: str = "latest",
+    on_duplicate: str = "error",
     latest_by: Sequence[str] = (),
     materialize: bool = False,
 ) -> None:
@@ -127,6 +133,7 @@ def upsert_partitioned(
     a daily run, are written without any join. Otherwise the source is evaluated more than
     once; ``materialize`` one that is expensive.
     """
+    check_policy(on_duplicate, latest_by)
     touched = partition_days(source if days is None else days, partition)
     if not touched:
         return
@@ -152,10 +159,11 @@ def upsert_table(
     keys: Sequence[str],
     schema: StructType,
     *,
-    on_duplicate: str = "latest",
+    on_duplicate: str = "error",
     latest_by: Sequence[str] = (),
 ) -> None:
     """Upsert into a small unpartitioned table, creating it on the first call."""
+    check_policy(on_duplicate, latest_by)
     target = find_stored(spark, path, schema)
     if target is None:
         first = dedup_latest(source, keys, latest_by) if on_duplicate == "latest" else source

@@ -55,11 +55,5 @@ def unkeyed(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 def dedup_latest(
     rows: DataFrame, keys: Sequence[str], latest_by: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per key, the latest; rows with a NULL key all stay.
-
-    Numbering the latter makes each a group of its own, so one pass serves both.
-    """
-    apart = F.when(~all_present(keys), F.monotonically_increasing_id())
-    return _greatest(
-        rows.withColumn("apart", apart), [*keys, "apart"], latest_by, rows.columns
-    )
+    """One row per key, the latest; rows with a NULL key all stay, past the shuffle."""
+    return latest_per_key(rows, keys, latest_by).unionByName(unkeyed(rows, keys))

@@ -18,22 +18,29 @@ from tallybook.sources.tables import read_transactions
 log = logging.getLogger(__name__)
 
 
-def curate_day(spark: SparkSession, zones: Zones, business_date: str | dt.date) -> None:
-    """Upsert the day's transactions and rate; either is skipped when there is none."""
+def curate_day(
+    spark: SparkSession, zones: Zones, business_date: str | dt.date, **policy
+) -> None:
+    """Upsert the day's transactions and rate; either is skipped when there is none.
+
+    ``policy`` is that of ``upsert_partitioned``. By default all movements that repeat a key are
+    kept when they are first written, and a repeated delivery of such a day fails: name what makes
+    a row the latest (``on_duplicate="latest"``, ``latest_by``) to curate it again.
+    """
     day = as_date(business_date)
-    curate_transactions_day(spark, zones, read_transactions(spark, zones.raw_transactions), day)
+    curate_transactions_day(spark, zones, read_transactions(spark, zones.raw_transactions), day, **policy)
     curate_rate_day(spark, zones, day)
 
 
 def curate_transactions_day(
-    spark: SparkSession, zones: Zones, raw: DataFrame, day: dt.date
+    spark: SparkSession, zones: Zones, raw: DataFrame, day: dt.date, **policy
 ) -> None:
     arrived = curate_transactions(raw, day)
     if arrived.isEmpty():
         log.info("no transactions for %s", day)
         return
     upsert_partitioned(
-        spark, zones.transactions, arrived, TRANSACTION_KEY, CURATED_TRANSACTIONS, days=[day]
+        spark, zones.transactions, arrived, TRANSACTION_KEY, CURATED_TRANSACTIONS, days=[day], **policy
     )
 
 
@@ -42,4 +49,4 @@ def curate_rate_day(spark: SparkSession, zones: Zones, day: dt.date) -> None:
     if arrived.isEmpty():
         log.info("no rate for %s", day)
         return
-    upsert_table(spark, zones.rates, arrived, RATE_KEY, RATES)
+    upsert_table(spark, zones.rates, arrived, RATE_KEY, RATES, on_duplicate="latest", latest_by=["valor"])

@@ -12,12 +12,14 @@ def build_session(
     *,
     time_zone: str = "UTC",
     master: str | None = None,
+    initial_partitions: int = 4096,
     extra: Mapping[str, str] | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session.
 
-    Business days are cut in ``time_zone``. AQE sizes the shuffles: it starts wide and
-    coalesces, so the same setting serves a laptop and a large cluster.
+    Business days are cut in ``time_zone``. AQE sizes the shuffles: each starts with
+    ``initial_partitions`` and is coalesced. It never splits what an aggregate reads, so on a
+    large cluster that is the most tasks it can have; small local sessions want fewer.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -29,6 +31,7 @@ def build_session(
         # What is shuffled per account expands to many payout rows, so even small shuffle
         # partitions are worth a task of their own.
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial_partitions),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",

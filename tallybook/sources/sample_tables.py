@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.schemas import CURATED_TRANSACTIONS, PAYLOAD_DATE_FORMAT, TRANSACTIONS
@@ -25,6 +24,7 @@ def transactions_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").cast("timestamp").alias("event_time"),
         F.when(debit, -value).otherwise(value).cast("decimal(18,2)").alias("amount"),
         F.col("event_type").alias("channel"),
+        "event_id",
     )
 
 
@@ -42,6 +42,10 @@ def dated_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transactions_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return numbered_orders(spark, sf_dir).select(*TRANSACTIONS.fieldNames())
+
+
+def numbered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as movements, all at midnight; a customer may have several at one time."""
     value = F.col("o_totalprice").cast("decimal(18,2)")
     return load(spark, sf_dir, "orders").select(
@@ -50,26 +54,15 @@ def transactions_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").cast("timestamp").alias("event_time"),
         F.when(F.col("o_orderstatus") == "F", -value).otherwise(value)
         .cast("decimal(18,2)").alias("amount"),
+        F.col("o_orderkey").alias("order_id"),
     )
 
 
 def weekday_rates(times: DataFrame, time: str) -> DataFrame:
-    """A rate for every weekday between the first and the last time.
-
-    The two dates are fetched once: plans use the rates in several places, each of which
-    would otherwise scan the table for them.
-    """
-    low, high = times.agg(F.to_date(F.min(time)), F.to_date(F.max(time))).first()
-    span = F.sequence(F.lit(low).cast("date"), F.lit(high).cast("date"))
-    return (
-        times.sparkSession.range(1).select(F.explode(span).alias("date"))
-        .where(F.weekday("date") < 5)
-        .select("date", sample_rate(F.col("date")).alias("valor"))
-    )
-
-
-def sample_rate(day: Column) -> Column:
-    return (F.lit(400) + F.dayofmonth(day)) / F.lit(10000.0)
+    """A rate for every weekday with rows, by how many there are."""
+    per_day = times.groupBy(F.to_date(time).alias("date")).agg(F.count(F.lit(1)).alias("n"))
+    rate = (F.lit(400) + F.col("n") % 100) / F.lit(10000.0)
+    return per_day.where(F.weekday("date") < 5).select("date", rate.alias("valor"))
 
 
 def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,10 +82,7 @@ def rate_payloads(rate_rows: DataFrame) -> DataFrame:
     return rate_rows.select("date", F.to_json(F.array(record)).alias("payload"))
 
 
-def rate_records(first: dt.date, last: dt.date) -> Iterator[dict[str, str]]:
-    """The same rates as decoded records of a date range."""
-    day = first
-    while day <= last:
-        if day.weekday() < 5:
-            yield {"data": day.strftime("%d/%m/%Y"), "valor": str((400 + day.day) / 10000.0)}
-        day += dt.timedelta(days=1)
+def rate_records(rate_rows: DataFrame) -> Iterator[dict[str, str]]:
+    """The same rates as decoded records, at most one per calendar day."""
+    for date, valor in rate_rows.orderBy("date").collect():
+        yield {"data": date.strftime("%d/%m/%Y"), "valor": str(valor)}

@@ -21,8 +21,11 @@ def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
 
 
 def read_transactions(spark: SparkSession, path: str) -> DataFrame:
-    """Raw transactions directory; the declared schema spares the footer inference."""
-    return spark.read.schema(TRANSACTIONS).parquet(path)
+    """Raw transactions directory with the columns of its footers.
+
+    Declared columns get their types, whatever numeric type the files have; all others are kept.
+    """
+    return with_declared(spark.read.option("mergeSchema", "true").parquet(path), TRANSACTIONS)
 
 
 def read_table(

@@ -13,26 +13,32 @@ from pyspark.sql.streaming import StreamingQuery
 from tallybook.operators.merge import upsert_partitioned
 from tallybook.plans.zones import Zones
 from tallybook.schemas import CURATED_TRANSACTIONS, TRANSACTION_KEY, TRANSACTIONS
+from tallybook.sources.tables import with_declared
 
 
 def curate_arrivals(
-    spark: SparkSession, zones: Zones, checkpoint: str, max_files: int | None = None
+    spark: SparkSession, zones: Zones, checkpoint: str, max_files: int | None = None, **policy
 ) -> StreamingQuery:
     """Upsert all files that arrived since the last call, then stop.
 
     A batch may hold any days, late ones too: only their partitions are rewritten. A batch
-    that is repeated after a failure upserts the same rows again, which changes nothing.
+    that is repeated after a failure upserts the same rows again, which changes nothing unless
+    rows repeat a key: those are all kept when first written, and matching them again fails, as
+    does a key that several later rows match, unless ``policy`` (that of ``upsert_partitioned``)
+    says which is the latest. Columns that no schema declares are kept; those the files have when
+    the call starts are read.
     """
-    reader = spark.readStream.schema(TRANSACTIONS)
+    reader = spark.readStream.schema(spark.read.option("mergeSchema", "true").parquet(zones.raw_transactions).schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def upsert(batch: DataFrame, _: int) -> None:
-        dated = batch.where(F.col("event_time").isNotNull()).withColumn(
+        dated = with_declared(batch, TRANSACTIONS).where(F.col("event_time").isNotNull()).withColumn(
             "date", F.to_date("event_time")
         )
         upsert_partitioned(
-            batch.sparkSession, zones.transactions, dated, TRANSACTION_KEY, CURATED_TRANSACTIONS
+            batch.sparkSession, zones.transactions, dated, TRANSACTION_KEY, CURATED_TRANSACTIONS,
+            **policy,
         )
 
     return (

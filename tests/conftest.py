@@ -13,6 +13,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "tallybook-tests",
         master="local[8]",
+        initial_partitions=4,
         extra={
             "spark.sql.shuffle.partitions": "4",
             "spark.default.parallelism": "2",

@@ -75,7 +75,8 @@ def test_repeated_target_rows_are_all_updated(spark):
 @pytest.mark.parametrize("policy", ["error", "keep_all", "latest"])
 def test_null_keys_never_match(spark, policy):
     rows = curated_frame(spark, [("u", None, T1, "1.00"), ("u", "a", T1, "2.00")])
-    merged = merge_upsert(rows, rows, TRANSACTION_KEY, on_duplicate=policy)
+    latest_by = ["amount"] if policy == "latest" else ()
+    merged = merge_upsert(rows, rows, TRANSACTION_KEY, on_duplicate=policy, latest_by=latest_by)
     assert amounts(merged) == [("a", 2.0), (None, 1.0), (None, 1.0)]
 
 
@@ -121,11 +122,20 @@ def test_partitioned_upsert_rewrites_touched_days_only(spark, path):
 def test_partitioned_upsert_creates_and_adds_days(spark, path):
     for rows in ([("u", "a", T1, "1.00")], [("u", "a", T2, "2.00")]):
         upsert_partitioned(
-            spark, path, curated_frame(spark, rows + rows), TRANSACTION_KEY, CURATED_TRANSACTIONS
+            spark, path, curated_frame(spark, rows + rows), TRANSACTION_KEY, CURATED_TRANSACTIONS,
+            on_duplicate="latest", latest_by=["amount"],
         )
     assert amounts(read_table(spark, path, CURATED_TRANSACTIONS)) == [("a", 1.0), ("a", 2.0)]
 
 
+def test_the_latest_must_be_told(spark, path):
+    rows = curated_frame(spark, [("u", "a", T1, "1.00")])
+    with pytest.raises(ValueError, match="latest_by"):
+        merge_upsert(rows, rows, TRANSACTION_KEY, on_duplicate="latest")
+    with pytest.raises(ValueError, match="latest_by"):
+        upsert_partitioned(spark, path, rows, TRANSACTION_KEY, CURATED_TRANSACTIONS, on_duplicate="latest")
+
+
 def test_upsert_of_nothing(spark, path):
     sinks.write_partitioned(curated_frame(spark, [("u", "a", T1, "1.00")]), path)
     upsert_partitioned(

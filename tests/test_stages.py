@@ -102,7 +102,7 @@ def test_curate_day(spark, zones):
     raw(spark, zones, TX + TX[:1])
     land(spark, zones, {"2024-01-08": "0.04", "2024-01-09": "oops"})
     for day in ("2024-01-08", "2024-01-09", "2024-01-08"):
-        curate_day(spark, zones, day)
+        curate_day(spark, zones, day, on_duplicate="latest", latest_by=["amount"])
     stored = read_table(spark, zones.transactions, CURATED_TRANSACTIONS)
     assert sorted((r.account_id, str(r.date), float(r.amount)) for r in stored.collect()) == [
         ("a", "2024-01-08", 1000.0), ("a", "2024-01-09", 5.0), ("b", "2024-01-09", 7.0),
@@ -112,6 +112,25 @@ def test_curate_day(spark, zones):
     ]
 
 
+def test_movements_of_one_instant_all_stay(spark, zones):
+    twice = [("u", "b", "2024-01-09T10:00:00", "5.00"), ("u", "b", "2024-01-09T10:00:00", "7.00")]
+    raw(spark, zones, twice)
+    curate_day(spark, zones, "2024-01-09")
+    stored = read_table(spark, zones.transactions, CURATED_TRANSACTIONS)
+    assert sorted(float(r.amount) for r in stored.collect()) == [5.0, 7.0]
+    with pytest.raises(Exception, match="several source rows"):
+        curate_day(spark, zones, "2024-01-09")
+
+
+def test_undeclared_columns_and_double_amounts_are_curated(spark, zones):
+    rows = tx_frame(spark, [("u", "b", "2024-01-09T10:00:00", "5.25")])
+    rows = rows.withColumn("amount", F.col("amount").cast("double")).withColumn("channel", F.lit("app"))
+    rows.write.parquet(zones.raw_transactions)
+    curate_day(spark, zones, "2024-01-09")
+    stored = read_table(spark, zones.transactions).first()
+    assert (str(stored.amount), stored.channel) == ("5.25", "app")
+
+
 def test_redelivered_day_updates_and_adds(spark, zones):
     raw(spark, zones, TX)
     curate_day(spark, zones, "2024-01-09")
