@@ -77,7 +77,8 @@ class Scorer:
                         break
                     anchors.add(term)
                     rest -= vector[term] ** 2
-        self.words = frozenset(w for a in anchors for w in a.split(" "))
+        # A line with a pair has its rarer word.
+        self.words = frozenset(max(a.split(" "), key=lambda w: (self.idf[w], w)) for a in anchors)
         self.anchors = re.compile("|".join(sorted(map(re.escape, self.words), key=len, reverse=True)))
         self.by_term: dict[str, list[tuple[int, float]]] = {}
         for i, (_, vector) in enumerate(self.vectors):
@@ -102,10 +103,11 @@ class Scorer:
     def best(self, text: str | None) -> tuple[str | None, float, str | None]:
         """The best line of a text, the first among equals. Every line is looked at."""
         found: tuple[str | None, float, str | None] = (None, 0.0, None)
-        if not text or not self.anchors.search(text.lower()):
+        lower = (text or "").lower()
+        if not any(word in lower for word in self.words):
             return found
         for line in _LINE.split(text):
-            if self.anchors.search(line.lower()):
+            if self.anchors.search(low := line.lower()) and not self.words.isdisjoint(_TERM.findall(low)):
                 hit = self.score(line)
                 if hit and hit[1] > found[1]:
                     found = (*hit, line)

@@ -138,6 +138,7 @@ def pieces(page: str) -> list[tuple[int, str, str]]:
 
 Item = tuple[str, bool, bool]
 _CELLS = 1_000_000
+_MOST_SENT = 8_000_000  # characters
 
 
 def folded(paths: list[str]) -> list[Item]:
@@ -306,7 +307,10 @@ def extract_text(pages: DataFrame, *, salts: int = 32) -> DataFrame:
     small_batches(pages.sparkSession, 200)
     wrappers = materialized(infer_wrappers(pages, salts=salts), "wrappers")
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host_of("url").alias("host"))
-    joined = rows.join(wrappers.hint("shuffle_hash"), "host", "left").select("page_id", "url", "html", "wrapper", "slots")
+    size = wrappers.agg(F.sum(F.length("wrapper") + F.length(F.array_join("slots", ",")))).first()[0] or 0
+    if size <= _MOST_SENT:  # else the pages are dealt out by host, and Spark splits a host of many
+        wrappers = F.broadcast(wrappers)
+    joined = rows.join(wrappers, "host", "left").select("page_id", "url", "html", "wrapper", "slots")
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, set[str]] = {}
