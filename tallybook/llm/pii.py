@@ -29,6 +29,7 @@ _BYTE = r"^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"
 _TERM = r"[\p{L}\p{N}]+"
 _NOT_TERM = r"[^\p{L}\p{N}]+"
 TERM = "term"
+PIECE = 128
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -47,9 +48,20 @@ def matches(text: Column, pattern: str) -> Column:
         span = F.struct(start.alias("start"), end.alias("end"), pair["value"].alias("value"))
         return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
+    def add_piece(state: Column, piece: Column) -> Column:
+        return F.aggregate(piece, F.struct(state["at"].alias("at"), empty.alias("spans")), add, lambda own: F.struct(
+            own["at"].alias("at"), F.concat(state["pieces"], F.array(own["spans"])).alias("pieces")))
+
+    def placed(pairs: Column) -> Column:
+        # In pieces, since appending copies the array at every step.
+        pieces = F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / PIECE).cast("int")), lambda i: F.slice(pairs, i * PIECE + 1, F.lit(PIECE)))
+        none = F.array().cast("array<array<struct<start:int,end:int,value:string>>>")
+        spans = F.aggregate(pieces, F.struct(F.lit(0).alias("at"), none.alias("pieces")), add_piece, lambda state: F.flatten(state["pieces"]))
+        return F.when(F.size(pairs) == 0, empty).otherwise(spans)
+
     pairs = F.arrays_zip(gaps.alias("gap"), found.alias("value"))
     pairs = F.filter(pairs, lambda p: p["value"].isNotNull())
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("spans")), add, lambda state: state["spans"])
+    return F.transform(F.array(pairs), placed)[0]
 
 
 def _digits(value: Column) -> Column:
@@ -104,87 +116,86 @@ def _entity(span: Column) -> Column:
     return F.concat_ws(":", span["kind"], plain)
 
 
-def _context_terms(spans: DataFrame, reach: int) -> DataFrame:
-    """``key``, ``entity``, ``context``, ``term``, ``start``, ``end`` of the terms near each entity.
+def _words(found: DataFrame) -> DataFrame:
+    """``key``, ``term``, ``start``, ``end`` of all terms of the documents that hold an entity, base spans left out."""
+    each = found.select("key", "base", F.explode(matches(F.col("text"), _TERM)).alias("m")).where(F.col("m.value").rlike(r"\p{L}"))
+    each = each.select("key", "base", F.lower("m.value").alias("term"), "m.start", "m.end")
+    return each.where(~F.exists("base", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))).drop("base")
+
 
-    A term counts if it lies whole within ``reach`` code points of the entity and in no base span.
+def _holders(found: DataFrame) -> DataFrame:
+    """``key``, ``rows``, ``group``, ``with_entity``: the entities of each document and the rows that hold them.
+
+    Entities of exactly the same documents tell the same, so they are one group, known by two
+    checksums of its documents: a list of a thousand addresses is not paired a thousand times.
     """
-    each = spans.where(F.size("base") > 0).select("key", "text", "base", F.explode("base").alias("span"))
-    padded = F.concat(F.lit(" "), "text", F.lit(" "))  # so that every piece has one more character at either end
-    first = F.greatest(F.col("span.start") - reach, F.lit(0))
-    before = F.substring(padded, first + 1, F.col("span.start") - first + 2)
-    after = F.substring(padded, F.col("span.end") + 1, F.lit(reach + 2))
-    sides = each.select(
-        "key", "base", _entity(F.col("span")).alias("entity"),
-        F.xxhash64(before, after).alias("context"),
-        F.explode(F.array(F.struct(before.alias("piece"), first.alias("at")), F.struct(after.alias("piece"), F.col("span.end").alias("at")))).alias("side"),
-    )
-    found = sides.select("key", "base", "entity", "context", "side", F.explode(matches(F.col("side.piece"), _TERM)).alias("m"))
-    whole = (F.col("m.start") > 0) & (F.col("m.end") < F.length("side.piece"))
-    found = found.where(whole & F.col("m.value").rlike(r"\p{L}")).select(
-        "key", "base", "entity", "context", F.lower("m.value").alias("term"),
-        (F.col("side.at") + F.col("m.start") - 1).alias("start"), (F.col("side.at") + F.col("m.end") - 1).alias("end"),
-    )
-    return found.where(~F.exists("base", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))).drop("base")
+    each = found.select("key", "rows", F.explode("base").alias("span")).select("key", "rows", _entity(F.col("span")).alias("entity")).distinct()
+    sums = [F.bit_xor(F.xxhash64("key", F.lit(seed))) for seed in (1, 2)]
+    entities = each.groupBy("entity").agg(F.struct(*[s.alias(f"sum{i}") for i, s in enumerate(sums)]).alias("group"), F.sum("rows").alias("with_entity"))
+    return each.join(entities, "entity").select("key", "rows", "group", "with_entity").distinct()
 
 
-def _revealing(near: DataFrame, texts: DataFrame, *, generalise: float, remove: float, contexts: int, bits: float) -> DataFrame:
-    """``entity``, ``term``, ``action``: the terms that say too much about an entity.
+def _revealing(words: DataFrame, found: DataFrame, texts: DataFrame, *, generalise: float, remove: float, bits: float) -> DataFrame:
+    """``key``, ``term``, ``action``: the terms of a document that say too much about one of its entities.
 
-    The share of the documents with the term that have it near the entity estimates how surely the
-    term leads to the entity; its logarithm over the entity's own share of the corpus is the
-    information in bits. Copies of one context are one piece of evidence.
+    The share of the documents with the term that hold the entity estimates how surely the term
+    leads to the entity; its logarithm over the entity's own share of the corpus is the pointwise
+    mutual information in bits. It is smoothed by n / (n + 1) for n different texts that have both:
+    copies of one text are one piece of evidence.
     """
-    pairs = near.groupBy("entity", "term", "key").agg(F.min("context").alias("context"))
-    pairs = pairs.groupBy("entity", "term", "context").agg(F.count("*").alias("n"))
-    pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("together"), F.count("*").alias("contexts"))
-    pairs = materialized(pairs.where(F.col("contexts") >= contexts), "pairs")
-    terms = F.explode(F.array_distinct(F.split(F.lower("text"), _NOT_TERM))).alias("term")
+    terms = F.explode(F.array_distinct(F.transform(F.split("text", _NOT_TERM), F.lower))).alias("term")
     frequency = texts.select(terms).groupBy("term").agg(F.count("*").alias("with_term"))
-    entities = near.groupBy("entity", "key").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count("*").alias("with_entity"))
+    holders = materialized(_holders(found), "holders")
+    # A term in many more documents than an entity cannot reach the share.
+    most = F.broadcast(holders.agg(F.max("with_entity").alias("most")))  # one row
+    frequency = frequency.crossJoin(most).where(F.col("with_term") * generalise <= F.col("most")).drop("most")
+    rare = words.select("key", "term").distinct().join(frequency, "term")
+    pairs = materialized(rare.join(holders, "key").where(F.col("with_term") * generalise <= F.col("with_entity")), "pairs")
+    told = pairs.groupBy("group", "term", F.col("key.hash").alias("hash")).agg(F.sum("rows").alias("rows"), F.first("with_term").alias("with_term"), F.first("with_entity").alias("with_entity"))
+    told = told.groupBy("group", "term").agg(
+        F.sum("rows").alias("together"), F.count("*").alias("n"), F.first("with_term").alias("with_term"), F.first("with_entity").alias("with_entity"))
     n_docs = texts.agg(F.count("*").alias("n_docs"))
-    told = pairs.join(frequency, "term").join(entities, "entity").crossJoin(F.broadcast(n_docs))  # one row
+    told = told.crossJoin(F.broadcast(n_docs))  # one row
     share = F.col("together") / F.col("with_term")
-    told = told.where((share >= generalise) & (F.log2(share * F.col("n_docs") / F.col("with_entity")) >= bits))
-    return told.select("entity", "term", F.when(share >= remove, "remove").otherwise("generalise").alias("action"))
+    information = F.log2(share * F.col("n_docs") / F.col("with_entity")) * F.col("n") / (F.col("n") + 1)
+    told = told.where((share >= generalise) & (information >= bits))
+    told = told.select("group", "term", F.when(share >= remove, "remove").otherwise("generalise").alias("action"))
+    return pairs.join(told, ["group", "term"]).groupBy("key", "term").agg(F.max("action").alias("action"))
 
 
 def find_personal_data(
     docs: DataFrame,
     *,
-    reach: int = 100,
     generalise: float = 0.5,
     remove: float = 0.8,
-    contexts: int = 3,
     bits: float = 4.0,
 ) -> DataFrame:
     """All columns of ``docs``, and ``pii_spans``: ``start``, ``rank``, ``end``, ``kind``, ``action``, sorted.
 
     Base kinds are found by pattern, leftmost and non-overlapping per kind; a match that fails its
-    check is dropped. Terms within ``reach`` code points of a base span are added (kind ``term``)
-    where the corpus shows that they disclose the entity: of the documents with the term a share of
-    ``generalise`` (``remove``) or more have it near the entity, in at least ``contexts`` different
-    contexts, and that tells at least ``bits`` bits. Positions are code points, the end exclusive.
+    check is dropped. Terms anywhere in a document with base spans are added (kind ``term``), at
+    each of their occurrences in it, where the corpus shows that they disclose an entity of the
+    document: of the documents with the term a share of ``generalise`` (``remove``) or more hold
+    the entity, and that tells at least ``bits`` bits. Positions are code points, the end exclusive.
 
     Null and empty texts have no spans; very long texts and digit runs are read whole. Repeated
     rows, with equal or null ``doc_id`` too, are rows of their own with spans of their own, though
-    equal contexts count once. Of other columns a former ``pii_spans`` is replaced, the rest is
+    equal texts are one piece of evidence. Of other columns a former ``pii_spans`` is replaced, the rest is
     kept. An empty table gives an empty result.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     # The row is known by id and text: rows alike in both have the same spans.
     rows = rows.select(F.struct("doc_id", F.xxhash64("text").alias("hash"), F.length("text").alias("length")).alias("key"), "text")
     found = rows.select("key", base_spans(F.col("text")).alias("base"), "text").where(F.size("base") > 0)
-    found = materialized(found, "base")
-    near = materialized(_context_terms(found, reach), "near")
-    telling = _revealing(near, rows, generalise=generalise, remove=remove, contexts=contexts, bits=bits)
-    term_spans = near.join(telling, ["entity", "term"]).groupBy("key", "start", "end").agg(F.max("action").alias("action"))
+    found = materialized(found.groupBy("key").agg(F.first("base").alias("base"), F.first("text").alias("text"), F.count("*").alias("rows")), "base")
+    words = materialized(_words(found), "words")
+    telling = _revealing(words, found, rows, generalise=generalise, remove=remove, bits=bits)
+    term_spans = words.join(telling, ["key", "term"])
     rank, kind = F.lit(len(KINDS)).alias("rank"), F.lit(TERM).alias("kind")
     terms = term_spans.groupBy("key").agg(F.collect_list(F.struct("start", rank, "end", kind, "action")).alias("terms"))
     plain = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"), F.lit("remove").alias("action")))
     none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,action:string>>")
-    unique = found.groupBy("key").agg(F.first(plain).alias("plain"))
-    spans = unique.join(terms, "key", "left").select(
+    spans = found.select("key", plain.alias("plain")).join(terms, "key", "left").select(
         F.col("key.doc_id").alias("pii_id"), F.col("key.hash").alias("pii_hash"), F.col("key.length").alias("pii_length"),
         F.array_sort(F.concat("plain", F.coalesce("terms", none))).alias("pii_spans"),
     )

@@ -62,6 +62,30 @@ def test_terms_that_disclose_an_entity(spark):
     assert pii.find_personal_data(docs.where("false")).collect() == []
 
 
+def test_terms_of_real_documents_seen_with_one_entity(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [r.asDict() for r in pii.find_personal_data(docs).collect()]
+    base = [r for r in rows if any(s.kind != pii.TERM for s in r["pii_spans"])]
+    held = {}
+    for r in rows:
+        for term in {t.lower() for t in re.findall(r"[^\W_]+", r["text"] or "")}:
+            held.setdefault(term, set()).add(r["text"])
+    assert sum(s.kind == pii.TERM for r in base for s in r["pii_spans"]) > 0
+    assert all(s.kind != pii.TERM for r in rows if r not in base for s in r["pii_spans"])
+    for r in base:
+        marked = {r["text"][s.start : s.end].lower() for s in r["pii_spans"] if s.kind == pii.TERM}
+        assert all(len(held[term]) <= 2 * len(base) for term in marked)
+
+
+def test_terms_are_marked_all_over_the_documents_of_the_entity(spark):
+    far = "plain words " * 40
+    rows = [(i, f"plain words number {i}") for i in range(400)] + [(1000, f"Quetzal {far} jo@corp.example {far} QUETZAL {far} quetzal"), (1001, "İzmirli jo2@corp.example")]
+    found = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"))
+    clean = {r.doc_id: r.clean for r in found.select("doc_id", pii.sanitised(F.col("text"), F.col("pii_spans")).alias("clean")).collect()}
+    assert clean[1000] == f"[TERM] {far} [EMAIL] {far} [TERM] {far} [TERM]"
+    assert clean[1001] == "[TERM] [EMAIL]" and clean[7] == rows[7][1]
+
+
 def test_overlapping_spans_become_one(spark):
     rows = spark.createDataFrame([(1, "call +378282246310005 now")], "doc_id long, text string")
     spans = pii.base_spans(F.col("text"))
