@@ -27,21 +27,27 @@ def _letters(text: str | None) -> str:
     return plain if any(c.isalpha() for c in plain) else ""
 
 
-def counts(text: str | None) -> np.ndarray | None:
-    """How often each hashed n-gram of characters occurs; None without a letter."""
-    plain = _letters(text)
-    if not plain:
-        return None
+def _slots(plain: str) -> Iterator[np.ndarray]:
+    """The slots of the hashed n-grams of characters, one array a length."""
     points = np.frombuffer(f" {plain.strip()} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    gram, total = np.zeros(len(points), np.uint64), np.zeros(FEATURES, np.int64)
+    gram = np.zeros(len(points), np.uint64)
     for length in range(1, max(LENGTHS) + 1):
         rest = len(points) - length + 1
         if rest < 1:
             break
         gram = gram[:rest] * np.uint64(0x110000) + points[length - 1 :]
         if length in LENGTHS:
-            slots = (mix(gram + np.uint64(length)) >> np.uint64(40)).astype(np.int64) % FEATURES
-            total += np.bincount(slots, minlength=FEATURES)
+            yield (mix(gram + np.uint64(length)) >> np.uint64(40)).astype(np.int64) % FEATURES
+
+
+def counts(text: str | None) -> np.ndarray | None:
+    """How often each hashed n-gram of characters occurs; None without a letter."""
+    plain = _letters(text)
+    if not plain:
+        return None
+    total = np.zeros(FEATURES, np.int64)
+    for slots in _slots(plain):
+        total += np.bincount(slots, minlength=FEATURES)
     return total
 
 
@@ -91,39 +97,45 @@ def _clustered(vectors: np.ndarray, k: int, rounds: int = 12, least: float = 0.0
 def fit(labelled: DataFrame, *, sample: int = 600, centroids: int = 3, slack: float = 0.25, most_labels: int = 500) -> Model:
     """Learn from ``text`` and ``lang`` of a sample of at most ``sample`` documents a language.
 
-    The sample is drawn by a hash of the text, so it is the same each time. Inverse document
-    frequencies and the centroids come from it: spherical k-means within each language, on
+    The sample is of distinct texts with a letter, drawn by a hash of the text, so it is the same each time. Inverse
+    document frequencies are counted over all documents; the centroids come from the sample: spherical k-means within each language, on
     TF-IDF vectors of hashed character n-grams. Texts whose cosine to the nearest centroid is below
     ``slack`` times the least of its language's sample are rejected. Rows without a language or a letter teach nothing.
     More than ``most_labels`` languages are an error: the model is held in the driver.
     """
     small_batches(labelled.sparkSession)
     rows = labelled.where("lang is not null and text is not null").select("text", "lang", F.xxhash64("text").alias("hash"))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    rows = rows.where(F.col("text").rlike(r"\p{L}"))
+    sizes = rows.select("lang", "hash").distinct().groupBy("lang").agg(F.count("*").alias("n"))
     if sizes.count() > most_labels:
         raise ValueError(f"more than {most_labels} languages")
     parts = 1 << 20
-    drawn = F.pmod("hash", F.lit(parts)) < F.ceil(F.lit(1.2 * sample * parts) / F.col("n"))
-    rows = rows.join(F.broadcast(sizes), "lang").where(drawn)
+    # Half as many again, so that chance leaves no language short of its places.
+    drawn = F.pmod("hash", F.lit(parts)) < F.ceil(F.lit(1.5 * sample * parts) / F.col("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
+    chosen = rows.join(F.broadcast(sizes), "lang").where(drawn).groupBy("lang", "hash").agg(F.first("text").alias("text"))
+    chosen = chosen.withColumn("place", place).where(F.col("place") <= sample)
 
     @pandas_udf("binary")
     def counted(texts: pd.Series) -> pd.Series:
         return pd.Series([None if (c := counts(t)) is None else np.minimum(c, 65535).astype(np.uint16).tobytes() for t in texts], dtype=object)
 
-    drawn = rows.select("lang", "hash", counted("text").alias("counts")).where("counts is not null")
-    drawn = materialized(drawn.withColumn("place", place).where(F.col("place") <= sample).select("lang", "hash", "counts"), "sample")
+    drawn = chosen.select("lang", "hash", counted("text").alias("counts")).where("counts is not null")
+    drawn = materialized(drawn, "sample")
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, n = np.zeros(FEATURES, np.int64), 0
         for batch in batches:
-            for row in batch["counts"]:
-                held += np.frombuffer(row, np.uint16) > 0
+            for plain in filter(None, map(_letters, batch["text"])):
+                present = np.zeros(FEATURES, bool)
+                for slots in _slots(plain):
+                    present[slots] = True
+                held += present
                 n += 1
         if n:
             yield pd.DataFrame({"slot": np.arange(FEATURES), "held": held, "n": n})
 
-    held = drawn.select("counts").mapInPandas(frequencies, "slot long, held long, n long")
+    held = rows.select("text").mapInPandas(frequencies, "slot long, held long, n long")
     held = held.groupBy("slot").agg(F.sum("held").alias("held"), F.sum("n").alias("n")).toPandas().sort_values("slot")
     if not len(held):
         return Model([], np.zeros(FEATURES, np.float32), np.zeros((0, FEATURES), np.float32), np.zeros(0, np.int64), np.zeros(0))

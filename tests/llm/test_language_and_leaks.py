@@ -34,6 +34,25 @@ def test_far_texts_are_rejected_and_nothing_to_learn_is_und(spark):
     assert langid.identify_language(docs.where("false")).collect() == []
 
 
+def test_a_language_of_copies_is_learnt_from_its_distinct_texts(spark):
+    draw = random.Random(5)
+
+    def prose(syllables):
+        return " ".join("".join(draw.choice(syllables) for _ in range(draw.randint(1, 3))) for _ in range(20))
+
+    rare = [prose(["ko", "mi", "ta", "ru", "ne"]) for _ in range(12)]
+    usual = [(prose(["the", "er", "ing", "on", "st"]), "xx") for _ in range(60)]
+    copied = [(t, "yy") for t in rare for _ in range(100 if t != rare[0] else 400)]
+    docs = spark.createDataFrame(usual + copied, "text string, lang string")
+    model = langid.fit(docs, sample=6)
+    assert model.labels == ["xx", "yy"] and model.predict(prose(["ko", "mi", "ta", "ru", "ne"]))[0] == "yy"
+    total = len(usual) + len(copied)
+    slots = [set(np.concatenate(list(langid._slots(langid._letters(t)))).tolist()) for t, _ in usual + copied]
+    for slot in (s for s in slots[0] | slots[-1] if s % 5 == 0):
+        want = np.log((total + 1) / (sum(slot in s for s in slots) + 1)) + 0.1
+        assert model.idf[slot] == pytest.approx(want, rel=1e-4)
+
+
 def full_distance(item, text):
     row = [0] * (len(text) + 1)
     for i, a in enumerate(item, 1):
