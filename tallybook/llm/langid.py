@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,6 +18,8 @@ from tallybook.llm.common import materialized, mix, small_batches
 UNKNOWN = "und"
 FEATURES = 1 << 13
 LENGTHS = (1, 2, 3)
+# Short texts lie farther from their centroid: floors are held for texts cut to so many letters.
+CUTS = (4, 8, 16, 32, 64, 128, 256, 512, 1024)
 
 _OTHER = re.compile(r"[\W\d_]+")
 
@@ -43,8 +46,10 @@ def _slots(plain: str) -> Iterator[np.ndarray]:
 def counts(text: str | None) -> np.ndarray | None:
     """How often each hashed n-gram of characters occurs; None without a letter."""
     plain = _letters(text)
-    if not plain:
-        return None
+    return _counted(plain) if plain else None
+
+
+def _counted(plain: str) -> np.ndarray:
     total = np.zeros(FEATURES, np.int64)
     for slots in _slots(plain):
         total += np.bincount(slots, minlength=FEATURES)
@@ -58,7 +63,7 @@ def _weighed(total: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
-    """At most labels * centroids rows of FEATURES numbers."""
+    """At most labels * centroids rows of FEATURES numbers, and a floor for each of CUTS."""
 
     labels: list[str]
     idf: np.ndarray
@@ -67,17 +72,22 @@ class Model:
     floors: np.ndarray
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
-        total = counts(text)
-        if total is None or not len(self.owners):
+        plain = _letters(text)
+        if not plain or not len(self.owners):
             return UNKNOWN, 0.0, True
-        near = self.centroids @ _weighed(total, self.idf)
+        near = self.centroids @ _weighed(_counted(plain), self.idf)
         best = int(near.argmax())
         score = min(1.0, max(0.0, float(near[best])))
-        return self.labels[self.owners[best]], score, score < float(self.floors[best])
+        return self.labels[self.owners[best]], score, score < float(self.floors[best, _cut(len(plain.strip()))])
+
+
+def _cut(length: int) -> int:
+    """The place in CUTS of the greatest that is no longer than the text, or the first."""
+    return max(0, bisect_right(CUTS, length) - 1)
 
 
-def _clustered(vectors: np.ndarray, k: int, rounds: int = 12, least: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
-    """Unit centroids, and the cosine of each vector to the nearest. Centroids of under ``least`` of the vectors are outliers and go."""
+def _clustered(vectors: np.ndarray, k: int, rounds: int = 12, least: float = 0.05) -> np.ndarray:
+    """Unit centroids. Centroids of under ``least`` of the vectors are outliers and go."""
     draw = np.random.default_rng(len(vectors))
     chosen = [int((vectors @ vectors.mean(axis=0)).argmax())]
     while len(chosen) < min(k, len(vectors)):
@@ -91,16 +101,41 @@ def _clustered(vectors: np.ndarray, k: int, rounds: int = 12, least: float = 0.0
         own = (vectors @ centres.T).argmax(axis=1)
         sums = np.stack([vectors[own == i].sum(axis=0) if (own == i).any() else centres[i] for i in range(len(centres))])
         centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
-    return centres, (vectors @ centres.T).max(axis=1)
+    return centres
 
 
-def fit(labelled: DataFrame, *, sample: int = 600, centroids: int = 3, slack: float = 0.25, most_labels: int = 500) -> Model:
+def _floors(vectors: np.ndarray, centres: np.ndarray, starts: list[str], idf: np.ndarray, low: float, margin: float) -> np.ndarray:
+    """For each centroid and each of CUTS, ``margin`` times the ``low`` quantile of the cosines of its members cut so short.
+
+    A member is compared with the sum of the others, so that small groups do not look closer than
+    they are; a centroid of a single text rejects nothing.
+    """
+    own = (vectors @ centres.T).argmax(axis=1)
+    floors = np.zeros((len(centres), len(CUTS)))
+    for i in range(len(centres)):
+        members = np.flatnonzero(own == i)
+        if not len(members):
+            continue
+        others = vectors[members].sum(axis=0) - vectors[members]
+        others /= np.maximum(np.linalg.norm(others, axis=1, keepdims=True), 1e-12)
+        for j, cut in enumerate(CUTS):
+            whole = [k for k, m in enumerate(members) if len(starts[m]) >= cut]
+            if whole:
+                near = [float(others[k] @ _weighed(_counted(starts[members[k]][:cut]), idf)) for k in whole]
+                floors[i, j] = margin * max(0.0, float(np.quantile(near, low)))
+            elif j:
+                floors[i, j] = floors[i, j - 1]
+    return floors
+
+
+def fit(labelled: DataFrame, *, sample: int = 600, centroids: int = 3, low: float = 0.05, margin: float = 0.4, most_labels: int = 500) -> Model:
     """Learn from ``text`` and ``lang`` of a sample of at most ``sample`` documents a language.
 
     The sample is of distinct texts with a letter, drawn by a hash of the text, so it is the same each time. Inverse
     document frequencies are counted over all documents; the centroids come from the sample: spherical k-means within each language, on
     TF-IDF vectors of hashed character n-grams. Texts whose cosine to the nearest centroid is below
-    ``slack`` times the least of its language's sample are rejected. Rows without a language or a letter teach nothing.
+    ``margin`` times the ``low`` quantile of what its own texts reach when cut to about the same length are rejected.
+    Rows without a language or a letter teach nothing.
     More than ``most_labels`` languages are an error: the model is held in the driver.
     """
     small_batches(labelled.sparkSession)
@@ -120,7 +155,11 @@ def fit(labelled: DataFrame, *, sample: int = 600, centroids: int = 3, slack: fl
     def counted(texts: pd.Series) -> pd.Series:
         return pd.Series([None if (c := counts(t)) is None else np.minimum(c, 65535).astype(np.uint16).tobytes() for t in texts], dtype=object)
 
-    drawn = chosen.select("lang", "hash", counted("text").alias("counts")).where("counts is not null")
+    @pandas_udf("string")
+    def started(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: _letters(t).strip()[: CUTS[-1]])
+
+    drawn = chosen.select("lang", "hash", counted("text").alias("counts"), started("text").alias("start")).where("counts is not null")
     drawn = materialized(drawn, "sample")
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -138,17 +177,17 @@ def fit(labelled: DataFrame, *, sample: int = 600, centroids: int = 3, slack: fl
     held = rows.select("text").mapInPandas(frequencies, "slot long, held long, n long")
     held = held.groupBy("slot").agg(F.sum("held").alias("held"), F.sum("n").alias("n")).toPandas().sort_values("slot")
     if not len(held):
-        return Model([], np.zeros(FEATURES, np.float32), np.zeros((0, FEATURES), np.float32), np.zeros(0, np.int64), np.zeros(0))
+        return Model([], np.zeros(FEATURES, np.float32), np.zeros((0, FEATURES), np.float32), np.zeros(0, np.int64), np.zeros((0, len(CUTS))))
     idf = np.log((held["n"].to_numpy() + 1) / (held["held"].to_numpy() + 1)).astype(np.float32) + 0.1
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("hash")
         vectors = np.stack([_weighed(np.frombuffer(c, np.uint16).astype(np.int64), idf) for c in group["counts"]])
-        centres, near = _clustered(vectors, centroids)
-        floor = slack * float(near.min())
-        return pd.DataFrame({"lang": group["lang"].iloc[0], "place": range(len(centres)), "floor": floor, "centre": [c.astype(np.float32).tobytes() for c in centres]})
+        centres = _clustered(vectors, centroids)
+        floors = _floors(vectors, centres, group["start"].tolist(), idf, low, margin)
+        return pd.DataFrame({"lang": group["lang"].iloc[0], "place": range(len(centres)), "floors": floors.tolist(), "centre": [c.astype(np.float32).tobytes() for c in centres]})
 
-    learnt = drawn.groupBy("lang").applyInPandas(cluster, "lang string, place long, floor double, centre binary")
+    learnt = drawn.groupBy("lang").applyInPandas(cluster, "lang string, place long, floors array<double>, centre binary")
     learnt = sorted(learnt.collect(), key=lambda r: (r["lang"], r["place"]))
     labels = sorted({r["lang"] for r in learnt})
     return Model(
@@ -156,7 +195,7 @@ def fit(labelled: DataFrame, *, sample: int = 600, centroids: int = 3, slack: fl
         idf,
         np.stack([np.frombuffer(r["centre"], np.float32) for r in learnt]),
         np.array([labels.index(r["lang"]) for r in learnt], np.int64),
-        np.array([r["floor"] for r in learnt]),
+        np.array([r["floors"] for r in learnt]),
     )
 
 

@@ -34,6 +34,21 @@ def test_far_texts_are_rejected_and_nothing_to_learn_is_und(spark):
     assert langid.identify_language(docs.where("false")).collect() == []
 
 
+def test_unlearnt_languages_of_the_same_script_are_rejected(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fit(docs.where(~langid.held_out("doc_id")))
+    unlearnt = [
+        "Questa è una frase scritta in italiano per vedere se il modello la riconosce, perché gli uomini nascono tutti liberi ed eguali.",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler.",
+        "Tất cả mọi người sinh ra đều được tự do và bình đẳng về nhân phẩm và quyền lợi.",
+        "xkqj zvwp qqxz jjkv wwxq zzpk vkjx qpzw xxjq kkvz pqzx jwvk",
+    ]
+    assert all(model.predict(t)[2] for t in unlearnt)
+    held = [r.text for r in docs.where(langid.held_out("doc_id")).collect() if langid.counts(r.text) is not None]
+    assert np.mean([model.predict(t)[2] for t in held]) < 0.01
+
+
 def test_a_language_of_copies_is_learnt_from_its_distinct_texts(spark):
     draw = random.Random(5)
 
