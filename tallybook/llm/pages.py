@@ -27,14 +27,14 @@ _CLOSES_P = frozenset(
 _SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset("ul ol dl table select".split())
 _APART = frozenset(
-    "head nav header footer aside form script style noscript template iframe object svg math canvas audio video select button input "
+    "head nav header footer aside script style noscript template iframe object svg math canvas audio video select button input "
     "textarea title menu dialog noembed noframes xmp".split())
 _APART_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices popup "
     "modal overlay sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs header footer comment comments disqus reply replies "
     "respond share sharing social related recommended newsletter subscribe subscription signup login search widget widgets toolbar pagination "
     "skip".split())
-_APART_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
+_APART_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar toolbar".split())
 _MAIN = frozenset("article main".split())
 _MAIN_ROLES = frozenset("main article".split())
 _ROOTS = frozenset("html body".split())
@@ -44,7 +44,9 @@ _ATTRIBUTE = re.compile(r"(?P<name>class|id|role|itemprop|hidden|aria-hidden)(?=
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 
-APART, MAIN, OTHER = "apart", "main", "other"
+_GUESSED = frozenset(["form"])  # a whole page may be one form
+
+APART, MAIN, OTHER, GUESSED, RETAKEN = "apart", "main", "other", "guessed", "retaken"
 
 
 @dataclass
@@ -52,6 +54,7 @@ class _Element:
     name: str
     label: str
     apart: bool
+    guessed: bool
     main: bool
 
 
@@ -61,17 +64,41 @@ def _element(name: str, rest: str) -> _Element:
     role = found.get("role", "").lower()
     main = name in _MAIN or role in _MAIN_ROLES or found.get("itemprop", "").lower() == "articlebody"
     apart = name in _APART or role in _APART_ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true"
-    if name not in _ROOTS and name != "main" and not (name == "article" and not words & {"comment", "comments", "reply"}):
-        apart = apart or bool(words & _APART_WORDS)
+    comment = name == "article" and bool(words & {"comment", "comments", "reply"})
+    main = main and not comment
+    guessed = comment or name in _GUESSED or role in _GUESSED or name not in _ROOTS and not main and bool(words & _APART_WORDS)
     label = name + "".join(sorted(f".{w}" for w in _SPLIT.split(found.get("class", "").lower()) if w and not w.isdigit()))
-    return _Element(name, label, apart, main)
+    return _Element(name, label, apart, guessed, main)
+
+
+def _kind(stack: list[_Element]) -> str:
+    """What the innermost mark says. Tags, roles and hidden parts set apart all within; a form or a class word is a guess."""
+    if any(e.apart for e in stack):
+        return APART
+    marked = [e for e in stack if e.guessed or e.main]
+    if not marked:
+        return OTHER
+    if marked[-1].main:
+        return RETAKEN if any(e.guessed for e in marked) else MAIN
+    return APART if any(e.main for e in marked) else GUESSED
+
+
+def _judged(found: list[tuple[int, str, str]]) -> list[tuple[int, str, str]]:
+    """An article within a guess is the main part if it outweighs what is outside, else a teaser and set apart."""
+    sizes = dict.fromkeys((APART, MAIN, OTHER, GUESSED, RETAKEN), 0)
+    for _, path, text in found:
+        sizes[path.split("/", 1)[0]] += len(text.strip())
+    if not sizes[RETAKEN]:
+        return found
+    kind = MAIN if sizes[RETAKEN] > sizes[MAIN] + sizes[OTHER] else APART
+    return [(block, kind + path.removeprefix(RETAKEN) if path.startswith(RETAKEN + "/") else path, text) for block, path, text in found]
 
 
 def pieces(page: str) -> list[tuple[int, str, str]]:
     """(block, path, text) of every piece of text in page order; references decoded, white space kept.
 
     The path is that of the open block elements with their classes; it begins with what the place
-    says of the text: in a part set apart, in a main part, or neither. Elements that their
+    says of the text: in a part set apart, in one that its name makes look so, in a main part, or neither. Elements that their
     successor closes need no end tag; an end tag without its element is ignored.
     """
     out: list[tuple[int, str, str]] = []
@@ -84,8 +111,7 @@ def pieces(page: str) -> list[tuple[int, str, str]]:
         if not text or text.isspace() and (not out or out[-1][0] != block):
             return
         if path is None:
-            kind = APART if any(e.apart for e in stack) else MAIN if any(e.main for e in stack) else OTHER
-            path = kind + "/" + "/".join(e.label for e in stack if e.name not in _INLINE)
+            path = _kind(stack) + "/" + "/".join(e.label for e in stack if e.name not in _INLINE)
         out.append((block, path, entities.unescape(text)))
 
     while at < len(page):
@@ -131,7 +157,7 @@ def pieces(page: str) -> list[tuple[int, str, str]]:
             at = stop.end() if stop else len(page)
             continue
         stack.append(_element(name, token["rest"]))
-    return out
+    return _judged(out)
 
 
 # --- wrappers: lists of items (path, optional, repeated), a regular expression without union ---
@@ -276,19 +302,21 @@ def infer_wrappers(pages: DataFrame, *, salts: int = 32) -> DataFrame:
 def content_places(wrapper: str, slots: list[str]) -> set[str]:
     """The places of a wrapper that hold the article.
 
-    Those in main parts if the wrapper has any. Else the slots that are not set apart, and if there are none, as on a host with one page, all places
-    that are not set apart.
+    Those in main parts if the wrapper has any. Else the slots that are not set apart, or that only a guess sets apart, and
+    if there are none, as on a host with one page, all places that are not set apart, or that only a guess sets apart.
     """
     places = {path for path, _, _ in _decode(wrapper)}
     main = {p for p in places if p.startswith(MAIN + "/")}
     other = {p for p in places if p.startswith(OTHER + "/")}
-    return main or other & set(slots) or other
+    guessed = {p for p in places if p.startswith(GUESSED + "/")}
+    return main or other & set(slots) or guessed & set(slots) or other or guessed
 
 
 def main_text(page: str, content: set[str]) -> str:
-    """The text of the content places, a line for each block. A page without any gives all that is not set apart."""
+    """The text of the content places, a line for each block. A page without any gives all that is not set apart, or only by a guess."""
     found = pieces(page)
-    kept = [p for p in found if p[1] in content] or [p for p in found if not p[1].startswith(APART + "/")]
+    kept = [p for p in found if p[1] in content] or [p for p in found if p[1].startswith((MAIN + "/", OTHER + "/"))]
+    kept = kept or [p for p in found if p[1].startswith(GUESSED + "/")]
     blocks: dict[int, list[str]] = {}
     for block, _, text in kept:
         blocks.setdefault(block, []).append(text)

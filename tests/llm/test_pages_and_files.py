@@ -36,6 +36,24 @@ def test_main_text(spark):
     assert pages.extract_text(docs.where("false")).collect() == []
 
 
+def test_articles_within_containers_that_look_set_apart(spark):
+    teaser = "<div class=related><article>Tea</article></div>"
+    rows = [
+        (1, "http://a.example/1", page(f"<div class='content with-sidebar'><article><p>First long story.<div class=share>no</div></article>{teaser.replace('article', 'p')}</div>")),
+        (2, "http://b.example/1", page("<div class='no-sidebar'><main>Second story.<aside>no</aside></main></div>")),
+        (3, "http://c.example/1", page("<div id='search-page'><h1>no</h1><article class=story>Third story.</article></div>")),
+        (4, "http://d.example/1", f"<body><form id=aspnet>{page('<article>Fourth story.</article>')}</form>"),
+        (5, "http://e.example/1", page("<form><div class=top>Same</div><div class=story>Fifth story.</div></form>")),
+        (6, "http://e.example/2", page("<form><div class=top>Same</div><div class=story>Sixth story.</div></form>")),
+        (7, "http://f.example/1", page(f"<article>Seventh story.</article>{teaser}")),
+        (8, "http://g.example/1", page(f"<div class=story>Eighth story.</div>{teaser}<aside><article>An aside longer than the story</article></aside>")),
+        (9, "http://h.example/1", page("<article>Ninth story.</article><div class=comments><article class=comment>A comment longer than the story</article></div>")),
+    ]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in pages.extract_text(docs).collect()}
+    assert found == {1: "First long story.", 2: "Second story.", 3: "Third story.", 4: "Fourth story.", 5: "Fifth story.", 6: "Sixth story.", 7: "Seventh story.", 8: "Eighth story.", 9: "Ninth story."}
+
+
 def test_wrappers_hold_options_and_repeats():
     one, other = pages.folded(["a", "b", "b", "b", "d"]), pages.folded(["a", "b", "c", "d", "x", "y", "x", "y"])
     assert pages._encode(one) == "a\nb+\nd"
