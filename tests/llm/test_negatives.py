@@ -1,0 +1,117 @@
+"""Hard negatives against exhaustive scoring and SQL."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+
+from tallybook.llm import negatives as g
+from tallybook.llm.queries import ORACLES
+
+duckdb = pytest.importorskip("duckdb")
+SCHEMA = "vec_id long, embedding array<float>, label int, x string, place string"
+NAN, INF = float("nan"), float("inf")
+
+
+def rows_of(seed, n=900, wide=24):
+    draw = np.random.default_rng(seed)
+    centres = draw.normal(size=(4, wide))
+    rows = []
+    for i in range(n):
+        label = int(draw.integers(0, 4))
+        x = centres[int(draw.integers(0, 4))] * draw.uniform(0, 0.2) + draw.normal(size=wide) * 0.15
+        rows.append((i, [float(v) for v in x], label, "clash", "clash"))
+    some = rows[5][1]
+    rows += [(1000 + i, some, i % 3, None, None) for i in range(120)]  # one very common vector
+    rows += [(2000, None, 1, "", ""), (2100, some, None, "", ""), (2200, [*some[:-1], NAN], 1, "", ""), (2300, [*some[:-1], INF], 1, "", "")]
+    rows += [(2400, [None, *some[1:]], 1, "", ""), (None, some, 2, "", ""), (None, some, 0, "", ""), (2500, [0.0] * wide, 1, "", "")]
+    rows += [rows[3], rows[100]]  # repeated rows are one row
+    return rows
+
+
+def expected(rows, positives=5, negatives=5):
+    seen = set()
+    for vec_id, x, label, *_ in rows:
+        if x is None or label is None or any(v is None or not math.isfinite(v) for v in x):
+            continue
+        if vec_id is not None and vec_id % 7 == 0:
+            label = (label + 1) % 10
+        seen.add((vec_id, label, tuple(math.floor(256 * float(np.float32(v))) for v in x)))
+    last = 2**63
+    out = []
+    for anchor, label, x in seen:
+        if anchor is None or anchor % 100:
+            continue
+        scored = [(-sum(a * b for a, b in zip(x, y)), last if i is None else i, own) for i, own, y in seen]
+        scored.sort()
+        best = [(-s, i) for s, i, own in scored if own == label and i != anchor][:positives]
+        for score, positive in best:
+            hard = [(-s, i) for s, i, own in scored if own != label and 80 * score <= -100 * s <= 100 * score][:negatives]
+            out += [(anchor, positive, rank, i, score, s) for rank, (s, i) in enumerate(hard, 1)]
+    return sorted(tuple(None if v == last else v for v in row) for row in out)
+
+
+def found(spark, rows, **options):
+    out = g.hard_negatives(spark.createDataFrame(rows, SCHEMA).repartition(3), **options)
+    assert out.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return sorted(map(tuple, out.collect()), key=repr)
+
+
+@pytest.mark.parametrize("options", [{}, {"block": 64, "group_bytes": 600, "levels": 1}])
+def test_results_equal_exhaustive_scoring(spark, options):
+    rows = rows_of(1)
+    want = sorted(expected(rows), key=repr)
+    assert len(want) > 50
+    assert found(spark, rows, **options) == want
+
+
+def test_results_equal_sql(spark, tmp_path):
+    rows = rows_of(2, n=400)[:-2]
+    spark.createDataFrame(rows, SCHEMA).select("vec_id", "embedding", "label").write.parquet(f"{tmp_path}/e")
+    with duckdb.connect() as engine:
+        engine.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/e/*.parquet'")
+        want = engine.execute(ORACLES["op12_negatives"]).fetchall()
+    assert found(spark, rows) == sorted(want, key=repr)
+
+
+def test_vectors_of_any_length_are_filled_up(spark):
+    draw = random.Random(1)
+    rows = [(i, [draw.uniform(-1, 1) for _ in range(draw.choice([0, 1, 5, 70]))], i % 3, None, None) for i in range(300)]
+    longest = max(len(r[1]) for r in rows)
+    filled = [(i, x + [0.0] * (longest - len(x)), y, None, None) for i, x, y, *_ in rows]
+    assert found(spark, rows) == sorted(expected(filled), key=repr)
+
+
+def test_numbers_beyond_float_precision_are_scored_exactly(spark):
+    rows = [(i, [1e6 + i, 3e5 - 7 * i], i % 2, None, None) for i in range(0, 300, 10)]
+    assert found(spark, rows) == sorted(expected(rows), key=repr)
+
+
+def test_empty_tables(spark):
+    assert found(spark, []) == []
+    assert found(spark, [(1, [0.5], 1, None, None)]) == []
+    assert found(spark, [(100, [], 1, None, None), (200, [], 1, None, None), (3, [], 2, None, None)]) == [(100, 200, 1, 3, 0, 0), (200, 100, 1, 3, 0, 0)]
+
+
+def test_intervals_hold_and_prune():
+    draw = np.random.default_rng(3)
+    rows = np.floor(draw.normal(size=(500, 40)) * 40)
+    codes = g.Codes.of(rows, 3, 11)
+    everything, pruned = np.arange(len(rows)), 0
+    for row in rows[:20] + np.floor(draw.normal(size=(20, 40)) * 9):
+        query = g.Query.of(row, 11)
+        true = rows @ row
+        estimate, slips = np.zeros(len(rows)), np.zeros(len(rows))
+        for level in range(3):
+            estimate, slips, reach = query.interval(codes, level, everything, estimate, slips)
+            assert (np.abs(true - estimate) <= reach).all()
+        pruned += (estimate + reach < np.sort(true)[-5]).sum()
+    assert pruned > 0.5 * 20 * len(rows)
+
+
+def test_rotation_keeps_inner_products():
+    rows = np.random.default_rng(4).normal(size=(20, 64))
+    turned = g.rotate(rows, 5)
+    assert np.allclose(turned @ turned.T, rows @ rows.T)
+    assert not np.allclose(turned, rows)
