@@ -262,31 +262,33 @@ def damaged(conversations: DataFrame) -> DataFrame:
     )
 
 
-def _key() -> Column:
-    """Checksum that names a row by conversation, turn, role and text."""
-    parts = [F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in ("conv_id", "turn")]
-    return F.unhex(F.sha2(F.concat(*parts[:1], F.lit(":"), *parts[1:], F.lit(":"), F.sha2("role", 256), F.sha2("text", 256)), 256))
+def _key(digest: Column) -> Column:
+    """Checksum that names a row by conversation, turn, role and digest of its text."""
+    conv, turn = [F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in ("conv_id", "turn")]
+    return F.unhex(F.sha2(F.concat_ws(":", conv, turn, F.sha2("role", 256), F.hex(digest)), 256))
+
+
+def _digest() -> Column:
+    return F.unhex(F.sha2("text", 256))
 
 
 def _facts(rows: DataFrame) -> DataFrame:
     """One narrow row per conversation, turn, role and text: how often it occurs, and whether it is the first of its role and text."""
     last = F.substring(F.regexp_replace("text", r"[\x20\x09-\x0D]+$", ""), -1, 1)
+    keys = ["conv_id", "turn", "role", "digest"]
     narrow = rows.select(
-        "conv_id", "turn", "role", F.unhex(F.sha2("text", 256)).alias("digest"), _key().alias("key"), "copies",
+        "conv_id", "turn", "role", _digest().alias("digest"), "copies",
         (~F.col("text").rlike(r"[^\x20\x09-\x0D]")).alias("blank"),
         (~last.isin(".", "!", "?")).alias("cut"),
     )
-    keys = ["conv_id", "turn", "role", "digest"]
-    counted = narrow.groupBy(*keys).agg(
-        F.max("key").alias("key"), F.sum("copies").cast("long").alias("copies"), F.max("blank").alias("blank"), F.max("cut").alias("cut"),
-        F.lit(False).alias("first"),
-    )
+    counted = narrow.groupBy(*keys, "blank", "cut").agg(F.sum("copies").cast("long").alias("copies"))
+    counted = materialized(counted.withColumn("first", F.lit(False)), "turns")
     # The first turn of each role and text is marked by a union, not a join: a text that fills half a
     # conversation stays spread by turn.
     when = F.struct(F.col("turn").isNotNull().alias("known"), "turn")
-    firsts = narrow.groupBy("conv_id", "role", "digest").agg(F.min(when).alias("when"))
+    firsts = counted.groupBy("conv_id", "role", "digest").agg(F.min(when).alias("when"))
     marked = firsts.select("conv_id", F.col("when.turn").alias("turn"), "role", "digest", F.lit(True).alias("first"))
-    kept = [F.max(c).alias(c) for c in ("key", "copies", "blank", "cut", "first")]
+    kept = [F.max(c).alias(c) for c in ("copies", "blank", "cut", "first")]
     return counted.unionByName(marked, allowMissingColumns=True).groupBy(*keys).agg(*kept)
 
 
@@ -298,7 +300,7 @@ def _ordered(rows: DataFrame) -> DataFrame:
     fault = F.when(F.col("blank"), BLANK).when(again, DUPLICATE).when(F.col("cut"), TRUNCATED)
     keys = [F.asc_nulls_first(c) for c in ("conv_id", "turn", "role", "digest", "copy")]
     dealt = single.repartitionByRange(width(rows.sparkSession), *keys).sortWithinPartitions(*keys)
-    return dealt.select("conv_id", "turn", "role", "key", fault.alias("fault"), F.monotonically_increasing_id().alias("place"))
+    return dealt.select("conv_id", "turn", "role", _key(F.col("digest")).alias("key"), fault.alias("fault"), F.monotonically_increasing_id().alias("place"))
 
 
 @dataclass
@@ -363,21 +365,22 @@ def _mapped(rows: DataFrame, of: Callable[[Iterator[dict]], Iterator[dict]], typ
     return rows.mapInArrow(lambda batches: _batched(of(_listed(batches)), schema), types)
 
 
-def _runs(rows: Iterator[dict], most: int) -> Iterator[tuple[list[dict], bool]]:
-    """Neighbouring rows of one conversation, at most ``most``, and whether they are known to be all of it.
+def _runs(rows: Iterator[dict], most: int) -> Iterator[tuple[list[dict], int, bool]]:
+    """Neighbouring rows of one conversation, at most ``most``, how many such runs of it came before, and whether
+    they are known to be all of it.
 
     What touches the first or last row of the task may go on in the next one.
     """
     run: list[dict] = []
-    opened = False  # the conversation began in this task, after another, and within this run
+    number, opened = 0, False  # opened: the conversation began in this task, after another, and within this run
     for row in rows:
         if run and (run[0]["conv_id"] != row["conv_id"] or len(run) == most):
             other = run[0]["conv_id"] != row["conv_id"]
-            yield run, opened and other
-            opened, run = other, []
+            yield run, number, opened and other
+            number, opened, run = 0 if other else number + 1, other, []
         run.append(row)
     if run:
-        yield run, False
+        yield run, number, False
 
 
 def _named(ways: list[tuple]) -> list[dict]:
@@ -388,53 +391,60 @@ def _pieces(rows: DataFrame, most: int) -> DataFrame:
     """Whole conversations with their one way, and pieces, with a ``table``, of those too long or cut by a task's border."""
 
     def solved(stream: Iterator[dict]) -> Iterator[dict]:
-        for run, complete in _runs(stream, most):
+        for run, number, complete in _runs(stream, most):
             stats = Stats.of(run[0]["turn"], run[0]["role"], run[0]["fault"])
             for row in run[1:]:
                 stats.add(Stats.of(row["turn"], row["role"], row["fault"]))
             codes = "".join([row_code(r["role"][:1], r["fault"]) for r in run])
             ways = [(NONE, NONE, *whole(codes), 0)] if complete else table(codes)
             held = [{"turn": r["turn"], "role": r["role"], "key": r["key"]} for r in run]
-            yield {"conv_id": run[0]["conv_id"], "place": run[0]["place"], **vars(stats), "ways": _named(ways), "whole": complete, "held": held}
+            yield {
+                "conv_id": run[0]["conv_id"], "place": run[0]["place"], "number": number, **vars(stats),
+                "ways": _named(ways), "whole": complete, "held": held,
+            }
 
-    types = f"place long, {_STATS_TYPES}, {_WAYS}, whole boolean, held array<struct<turn:long,role:string,key:binary>>"
+    types = f"place long, number long, {_STATS_TYPES}, {_WAYS}, whole boolean, held array<struct<turn:long,role:string,key:binary>>"
     return materialized(_mapped(_ordered(rows), solved, types), "pieces")
 
 
-def _joined_level(level: DataFrame, n: int, fan: int) -> DataFrame:
-    """Up to ``fan`` neighbouring pieces of a conversation as one, with their places as ``children``."""
+def _joined_level(level: DataFrame) -> DataFrame:
+    """Pieces of a conversation with equal ``task`` and ``number`` as one, with their places as ``children``."""
 
     def merged(stream: Iterator[dict]) -> Iterator[dict]:
-        for run, _ in _runs(stream, fan):
+        for (task, number, _), run in groupby(stream, key=lambda row: (row["task"], row["number"], row["conv_id"])):
+            run = list(run)
             stats = Stats(**{c: run[0][c] for c in _STATS})
             for row in run[1:]:
                 stats.add(Stats(**{c: row[c] for c in _STATS}))
             tables = [{(w["entry"], w["end"]): (w["cost"], w["rank"]) for w in row["ways"]} for row in run]
             yield {
-                "conv_id": run[0]["conv_id"], "place": run[0]["place"], **vars(stats),
+                "conv_id": run[0]["conv_id"], "task": task, "number": number, "place": run[0]["place"], **vars(stats),
                 "ways": _named(joined(tables)), "children": [row["place"] for row in run],
             }
 
-    order = [F.asc_nulls_first("conv_id"), F.asc("place")]
-    parts = max(1, min(width(level.sparkSession), n // fan))
-    dealt = level.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    return materialized(_mapped(dealt, merged, f"place long, {_STATS_TYPES}, {_WAYS}, children array<long>"), "joined")
+    keys = ["conv_id", "task", "number"]
+    dealt = level.repartition(*keys).sortWithinPartitions(*keys, "place")
+    return materialized(_mapped(dealt, merged, f"task long, number long, place long, {_STATS_TYPES}, {_WAYS}, children array<long>"), "joined")
 
 
 def _chosen_pieces(pieces: DataFrame, fan: int) -> tuple[DataFrame, DataFrame]:
     """Of the pieces that are not whole conversations: ``place, entry, end, tail`` of each, and totals per conversation.
 
-    Pieces are joined level by level, ``fan`` to one, until each conversation has a single row; then the
+    Pieces are joined level by level, at most ``fan`` to one, until each conversation has a single row; then the
     ends chosen there are handed down. ``tail`` completes the last piece.
     """
     bare = F.transform("ways", lambda w: F.struct(w["entry"], w["end"], w["cost"], F.lit("").alias("audit"), w["rank"]))
-    level = pieces.where("not whole").select("conv_id", "place", *_STATS, bare.alias("ways"))
+    # The task that saw a piece stands in the upper bits of its place.
+    task = F.shiftright("place", 33).alias("task")
+    level = pieces.where("not whole").select("conv_id", task, "number", "place", *_STATS, bare.alias("ways"))
     levels: list[DataFrame] = []
     while True:
-        n, conversations = level.agg(F.count("*"), F.count_distinct(F.struct("conv_id"))).first()
+        n, conversations, most = level.agg(F.count("*"), F.count_distinct(F.struct("conv_id")), F.max("number")).first()
         if n == conversations:
             break
-        level = _joined_level(level, n, fan)
+        # First what one task saw becomes one piece, then that of neighbouring tasks.
+        coarser = "number" if most else "task"
+        level = _joined_level(level.withColumn(coarser, F.floor(F.col(coarser) / fan).cast("long")))
         levels.append(level)
 
     def decided(stream: Iterator[dict]) -> Iterator[dict]:
@@ -512,7 +522,7 @@ def repair(rows: DataFrame, *, most: int = 1024, fan: int = 256) -> Repaired:
                 yield out
 
     edits = materialized(_mapped(solved, spelled, "place long, step long, letter string, turn long, role string, key binary"), "edits")
-    texts = rows.select(_key().alias("key"), "text").dropDuplicates(["key"])
+    texts = rows.select(_key(_digest()).alias("key"), "text").dropDuplicates(["key"])
     taken = edits.where(F.col("letter").isin("K", "R")).join(texts, "key").select("conv_id", "place", "step", "role", "text")
     inserted = edits.where(F.col("letter") == "I").select("conv_id", "place", "step", "role", F.lit("").alias("text"))
 
