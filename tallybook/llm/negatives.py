@@ -14,7 +14,7 @@ from tallybook.llm.common import materialized
 
 _NO_ID = np.iinfo(np.int64).max  # stands for a NULL id, which sorts last
 _NO_SCORE = np.iinfo(np.int64).min
-_PLANES = 8
+_PLANES = 6
 _EXACT = 1 << 53
 # --- fixed values: how vectors become integers, which labels move, how scores are compared ---
 SCALE = 256
@@ -67,6 +67,12 @@ def _words(bits: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
 
 
+def _ones(words: np.ndarray) -> np.ndarray:
+    """Bits set in each row of words."""
+    counts = np.bitwise_count(words)
+    return counts[:, 0].astype(np.int32) if counts.shape[1] == 1 else counts.sum(axis=1, dtype=np.int32)
+
+
 def _padded(rows: np.ndarray) -> np.ndarray:
     wide = 64
     while wide < rows.shape[1]:
@@ -79,17 +85,18 @@ class Codes:
     """One-bit codes of the rows of a block, of their residuals, and so on.
 
     ``rows = sum of align[level] * sign(level) / sqrt(wide) + residual``; ``align`` is the inner product
-    of what was left with its code, ``left`` the length of what is left after each level.
+    of what was left with its code, ``left`` the length of what is left after each level, ``ones`` counts the code's bits.
     """
 
     bits: list[np.ndarray]
     align: list[np.ndarray]
     left: list[np.ndarray]
+    ones: list[np.ndarray]
 
     @staticmethod
     def of(rows: np.ndarray, levels: int, seed: int) -> Codes:
         rest = rotate(_padded(rows.astype(np.float64)), seed)
-        made = Codes([], [], [])
+        made = Codes([], [], [], [])
         unit = 1 / np.sqrt(rest.shape[1])
         for _ in range(levels):
             up = rest >= 0
@@ -98,6 +105,7 @@ class Codes:
             made.bits.append(_words(up))
             made.align.append(align)
             made.left.append(np.sqrt((rest * rest).sum(axis=1)))
+            made.ones.append(_ones(made.bits[-1]))
         return made
 
 
@@ -114,21 +122,22 @@ class Query:
     wide: int
 
     @staticmethod
-    def of(row: np.ndarray, seed: int) -> Query:
-        turned = rotate(_padded(row[None].astype(np.float64)), seed)[0]
-        low, high = float(turned.min()), float(turned.max())
-        step = (high - low) / ((1 << _PLANES) - 1) or 1.0
-        levels = np.rint((turned - low) / step).astype(np.int64)
-        planes = np.concatenate([_words(((levels >> p) & 1).astype(bool)[None]) for p in range(_PLANES)])
-        slip = float(np.linalg.norm(turned - (low + step * levels)))
-        return Query(planes, low, step, float(levels.sum()), slip, float(np.linalg.norm(turned)), len(turned))
-
-    def dots(self, bits: np.ndarray) -> np.ndarray:
+    def many(rows: np.ndarray, seed: int) -> list[Query]:
+        made = []
+        for turned in rotate(_padded(rows.astype(np.float64)), seed):
+            low, high = float(turned.min()), float(turned.max())
+            step = (high - low) / ((1 << _PLANES) - 1) or 1.0
+            levels = np.rint((turned - low) / step).astype(np.int64)
+            planes = _words(((levels >> np.arange(_PLANES)[:, None]) & 1).astype(bool))
+            slip = float(np.linalg.norm(turned - (low + step * levels)))
+            made.append(Query(planes, low, step, float(levels.sum()), slip, float(np.linalg.norm(turned)), len(turned)))
+        return made
+
+    def dots(self, bits: np.ndarray, ones: np.ndarray) -> np.ndarray:
         """Inner products of the rounded query with unit codes, by popcounts; off by at most ``slip``."""
-        ones = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
-        both = np.zeros(len(bits), np.int64)
+        both = np.zeros(len(bits), np.int32)
         for p, plane in enumerate(self.planes):
-            both += np.bitwise_count(bits & plane).sum(axis=1, dtype=np.int64) << p
+            both += _ones(bits & plane) << p
         return (self.low * (2.0 * ones - self.wide) + self.step * (2.0 * both - self.total)) / np.sqrt(self.wide)
 
     def interval(self, codes: Codes, level: int, at: np.ndarray, estimate: np.ndarray, slips: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -138,7 +147,7 @@ class Query:
         most its length times the length of the query's part beside that code. What rounding of
         floating-point numbers may do is far below the margin added.
         """
-        dot = self.dots(codes.bits[level][at])
+        dot = self.dots(codes.bits[level][at], codes.ones[level][at])
         align = codes.align[level][at]
         estimate = estimate + align * dot
         slips = slips + align * self.slip
@@ -179,7 +188,7 @@ class Block:
             np.frombuffer(line.ids, np.int64),
             np.frombuffer(line.labels, np.int64),
             np.frombuffer(line.rows, np.float64).reshape(n, wide),
-            Codes(list(bits), list(halves[:levels]), list(halves[levels:])),
+            Codes(list(bits), list(halves[:levels]), list(halves[levels:]), [_ones(b) for b in bits]),
         )
 
 
@@ -187,12 +196,13 @@ def longest(rows: DataFrame) -> int:
     return max(1, rows.agg(F.max(F.size("x")).alias("wide")).first()["wide"] or 1)
 
 
-def code_blocks(rows: DataFrame, *, block: int = 4096, levels: int = 3, seed: int = 11) -> DataFrame:
-    """The rows of ``usable`` in blocks of at most ``block``, with their codes and alignments stored beside them.
+def code_blocks(rows: DataFrame, *, block_bytes: int = 8 << 20, levels: int = 3, seed: int = 11) -> DataFrame:
+    """The rows of ``usable`` in blocks of about ``block_bytes``, with their codes and alignments stored beside them.
 
     Shorter vectors are filled up with zeros to the longest.
     """
     wide = longest(rows)
+    block = max(1, block_bytes // (8 * wide))
 
     def packed(ids: np.ndarray, labels: np.ndarray, data: np.ndarray) -> pd.DataFrame:
         codes = Codes.of(data, levels, seed)
@@ -252,27 +262,29 @@ class _Best:
         self.scores, self.ids = scores[order], ids[order]
 
 
-def _survivors(query: Query, block: Block, at: np.ndarray, low: int | float, high: int | float, k: int) -> np.ndarray:
-    """Of the rows ``at``, those that can be among the first ``k`` with a score of ``low`` to ``high``.
+def _survivors(query: Query, block: Block, at: np.ndarray, low: float, high: float, k: int = 0) -> np.ndarray:
+    """Of the rows ``at``, those whose score can lie from ``low`` to ``high`` and, given ``k``, be among the first ``k``.
 
-    Rows whose interval lies outside go; so do those below the ``k``-th greatest lower end of the
-    intervals that lie inside. Each level of codes looks at what the one before has left.
+    With ``k``, rows below the ``k``-th greatest lower end go too. Each level of codes looks at what the
+    one before has left.
     """
     estimate, slips = np.zeros(len(at)), np.zeros(len(at))
     for level in range(len(block.codes.bits)):
-        if len(at) <= k:
+        if not len(at):
             break
         estimate, slips, reach = query.interval(block.codes, level, at, estimate, slips)
         least, most = estimate - reach, estimate + reach
-        sure = np.sort(least[(least >= low) & (most <= high)])
-        floor = max(low, sure[-k]) if len(sure) >= k else low
+        floor = max(low, np.partition(least, -k)[-k]) if 0 < k < len(least) else low
         keep = (most >= floor) & (least <= high)
         at, estimate, slips = at[keep], estimate[keep], slips[keep]
     return at
 
 
-def _wide_row(x, wide: int) -> np.ndarray:
-    return np.pad(np.asarray(x, np.float64), (0, max(0, wide - len(x))))
+def _wide_rows(anchors: list[dict], wide: int) -> np.ndarray:
+    rows = np.zeros((len(anchors), wide))
+    for row, anchor in zip(rows, anchors, strict=True):
+        row[: len(anchor["x"])] = anchor["x"]
+    return rows
 
 
 def nearest_alike(blocks: DataFrame, anchors: DataFrame, k: int, seed: int) -> DataFrame:
@@ -285,7 +297,8 @@ def nearest_alike(blocks: DataFrame, anchors: DataFrame, k: int, seed: int) -> D
             for line in frame.itertuples():
                 block = Block.read(line)
                 if not queries:
-                    queries = [(Query.of(row, seed), row, a) for a in line.anchors for row in [_wide_row(a["x"], line.wide)]]
+                    rows = _wide_rows(line.anchors, line.wide)
+                    queries = list(zip(Query.many(rows, seed), rows, line.anchors, strict=True))
                 for place, (query, row, anchor) in enumerate(queries):
                     at = np.flatnonzero((block.labels == anchor["label"]) & (block.ids != anchor["vec_id"]))
                     own = best.setdefault(place, _Best(k))
@@ -313,20 +326,21 @@ def nearest_within(blocks: DataFrame, anchors: DataFrame, k: int, seed: int) ->
                 block = Block.read(line)
                 if not queries:
                     held = {entry["place"]: [int(s) for s in entry["scores"]] for entry in line.limits}
-                    for place, a in enumerate(line.anchors):
-                        if limits := [s for s in held.get(place, []) if s >= 0]:  # else nothing lies within
-                            row = _wide_row(a["x"], line.wide)
-                            queries.append((place, Query.of(row, seed), row, a["label"], limits))
-                for place, query, row, label, limits in queries:
-                    other = np.flatnonzero(block.labels != label)
-                    for limit in limits:
-                        own = best.setdefault((place, limit), _Best(k))
-                        low = max(own.floor(), -(-LOW * limit // HIGH))
-                        at = _survivors(query, block, other, low, limit, k)
-                        if len(at):
-                            scores = _dots(block.rows[at], row)
-                            fit = (HIGH * scores >= LOW * limit) & (scores <= limit)
-                            own.take(scores[fit], block.ids[at][fit])
+                    rows = _wide_rows(line.anchors, line.wide)
+                    for place, (query, row, anchor) in enumerate(zip(Query.many(rows, seed), rows, line.anchors, strict=True)):
+                        # Below zero nothing lies within.
+                        owns = [(limit, best.setdefault((place, limit), _Best(k))) for limit in held.get(place, []) if limit >= 0]
+                        if owns:
+                            queries.append((query, row, anchor["label"], owns))
+                for query, row, label, owns in queries:
+                    low = min(max(own.floor(), -(-LOW * limit // HIGH)) for limit, own in owns)
+                    at = _survivors(query, block, np.flatnonzero(block.labels != label), low, max(limit for limit, _ in owns))
+                    if not len(at):
+                        continue
+                    scores, ids = _dots(block.rows[at], row), block.ids[at]
+                    for limit, own in owns:
+                        fit = (HIGH * scores >= LOW * limit) & (scores <= limit) & (scores >= own.floor())
+                        own.take(scores[fit], ids[fit])
         for (place, limit), own in best.items():
             if len(own.ids):
                 yield pd.DataFrame({"place": place, "limit": limit, "score": own.scores, "vec_id": own.ids})
@@ -342,7 +356,7 @@ def _ranked(rows: DataFrame, of: list[str], k: int) -> DataFrame:
 
 
 def hard_negatives(
-    vectors: DataFrame, *, every: int = 100, positives: int = 5, negatives: int = 5, group_bytes: int = 1 << 20, block: int = 4096, levels: int = 3, seed: int = 11
+    vectors: DataFrame, *, every: int = 100, positives: int = 5, negatives: int = 5, group_bytes: int = 1 << 20, block_bytes: int = 8 << 20, levels: int = 3, seed: int = 11
 ) -> DataFrame:
     """For each anchor and each of its positives the hardest negatives: ``anchor_id, positive_id, rank, negative_id,
     positive_score, negative_score``.
@@ -364,7 +378,7 @@ def hard_negatives(
     """
     rows = materialized(usable(vectors), "vectors")
     anchors = _anchors(rows, every, group_bytes)
-    blocks = code_blocks(rows, block=block, levels=levels, seed=seed)
+    blocks = code_blocks(rows, block_bytes=block_bytes, levels=levels, seed=seed)
     done: list[DataFrame] = []
     for part in sorted(r["part"] for r in anchors.select("part").collect()):
         asked = anchors.where(F.col("part") == part).select("anchors")

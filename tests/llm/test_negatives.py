@@ -58,7 +58,7 @@ def found(spark, rows, **options):
     return sorted(map(tuple, out.collect()), key=repr)
 
 
-@pytest.mark.parametrize("options", [{}, {"block": 64, "group_bytes": 600, "levels": 1}])
+@pytest.mark.parametrize("options", [{}, {"block_bytes": 64 * 8 * 24, "group_bytes": 600, "levels": 1}])
 def test_results_equal_exhaustive_scoring(spark, options):
     rows = rows_of(1)
     want = sorted(expected(rows), key=repr)
@@ -99,8 +99,8 @@ def test_intervals_hold_and_prune():
     rows = np.floor(draw.normal(size=(500, 40)) * 40)
     codes = g.Codes.of(rows, 3, 11)
     everything, pruned = np.arange(len(rows)), 0
-    for row in rows[:20] + np.floor(draw.normal(size=(20, 40)) * 9):
-        query = g.Query.of(row, 11)
+    asked = rows[:20] + np.floor(draw.normal(size=(20, 40)) * 9)
+    for row, query in zip(asked, g.Query.many(asked, 11)):
         true = rows @ row
         estimate, slips = np.zeros(len(rows)), np.zeros(len(rows))
         for level in range(3):
