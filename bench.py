@@ -15,7 +15,6 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from benchmarks.loops import LOOPS  # noqa: E402
 from registry.queries import QUERIES  # noqa: E402
 from tallybook.session import build_session  # noqa: E402
 
@@ -60,6 +59,8 @@ def main() -> None:
         "sf": Path(sf_dir).name.removeprefix("sf"),
     }
     if os.environ.get("BENCH_LOOPS") == "1":
+        from benchmarks.loops import LOOPS
+
         line["day_by_day"] = {name: seconds(run, spark, sf_dir) for name, run in LOOPS.items()}
     spark.stop()
     print(json.dumps(line))

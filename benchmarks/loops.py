@@ -10,7 +10,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registry.queries import FIRST_DELIVERY_TO, REDELIVERY_FROM, _first_delivery, _redelivery
+from registry.queries import _deliveries, _numbered_events
 from tallybook.functions.interest import held_interest, held_rate
 from tallybook.operators.activity import activity_lag, activity_with_rate, daily_activity
 from tallybook.operators.merge import upsert_partitioned
@@ -75,11 +75,12 @@ def snapshot_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merge_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = Zones(fresh_dir(spark, "loop-merge"))
-    tx = sample.dated_transactions(spark, sf_dir)
-    sinks.write_partitioned(_first_delivery(tx), zones.transactions)
-    for day in _days(REDELIVERY_FROM, max(LAST, FIRST_DELIVERY_TO)):
+    columns = CURATED_TRANSACTIONS.fieldNames()
+    first, second = (d.select(*columns) for d in _deliveries(_numbered_events(spark, sf_dir), "event_id"))
+    sinks.write_partitioned(first, zones.transactions)
+    for day in _days(FIRST, LAST):
         upsert_partitioned(
-            spark, zones.transactions, _redelivery(tx).where(F.col("date") == F.lit(day)),
+            spark, zones.transactions, second.where(F.col("date") == F.lit(day)),
             TRANSACTION_KEY, CURATED_TRANSACTIONS, days=[day],
         )
     return read_table(spark, zones.transactions, CURATED_TRANSACTIONS)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -42,7 +43,10 @@ def read_table(
 
 
 def find_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
-    """The table, or None where there is none yet; its files are listed once."""
+    """The table, or None where there is none yet; its files are listed once.
+
+    For a table that ``rewrite_table`` replaces, call ``settle_table`` before.
+    """
     try:
         return read_table(spark, path, schema)
     except AnalysisException as error:
@@ -95,3 +99,17 @@ def find_partitions(
     """Stored rows of the given partitions; no other directory is listed or opened."""
     names = ",".join("__HIVE_DEFAULT_PARTITION__" if d is None else str(d) for d in days)
     return find_stored(spark, f"{path}/{partition}={{{names}}}", schema, base=path)
+
+
+def read_days(
+    spark: SparkSession, path: str, schema: StructType, days: Sequence[dt.date], partition: str = "date"
+) -> DataFrame:
+    """Rows of the given days; only their directories are listed, and no footer is read to plan the scan."""
+    names = ",".join(d.isoformat() for d in days)
+    reader = spark.read.schema(schema).option("basePath", path)
+    try:
+        return reader.parquet(f"{path}/{partition}={{{names}}}") if days else empty_table(spark, schema)
+    except AnalysisException as error:
+        if is_missing_path(error):
+            return empty_table(spark, schema)
+        raise

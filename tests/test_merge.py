@@ -9,7 +9,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tallybook.operators.merge import merge_upsert, upsert_partitioned, upsert_table
+from tallybook.operators.merge import matched_rows, merge_upsert, upsert_partitioned, upsert_table
 from tallybook.operators.quality import dedup_latest, key_quality
 from tallybook.schemas import (
     CURATED_TRANSACTIONS,
@@ -17,9 +17,10 @@ from tallybook.schemas import (
     RATES,
     TRANSACTION_KEY,
 )
+from tallybook.sources import files as folders
 from tallybook.sources import sinks
 from tallybook.sources.tables import read_table
-from tests.fixtures import curated_frame, rate_frame
+from tests.fixtures import curated_frame, plan_of, rate_frame
 
 T1, T2, T3 = "2024-01-01T10:00:00", "2024-01-02T10:00:00", "2024-01-03T10:00:00"
 
@@ -246,3 +247,119 @@ def test_one_key_with_a_third_of_all_rows(spark):
     assert counted.where("a = 'none'").count() == 1
     assert counted.where("a = 'none'").first().n == n // 3
     assert merged.count() == 1 + n // 3 + n // 3
+
+
+@pytest.mark.parametrize("columns", [[], ["note"]])
+def test_replace_can_be_repeated(spark, columns):
+    target = curated_frame(spark, [("u", "a", T1, "1.00"), ("u", "b", T1, "3.00"), ("u", None, T1, "4.00")])
+    for name in columns:
+        target = target.withColumn(name, F.lit("kept"))
+    source = curated_frame(spark, REPEATED)
+    once = merge_upsert(target, source, TRANSACTION_KEY, on_duplicate="replace")
+    twice = merge_upsert(once, source, TRANSACTION_KEY, on_duplicate="replace")
+    assert amounts(once) == amounts(twice) == [("a", 5.0), ("a", 7.0), ("b", 3.0), (None, 4.0)]
+    for name in columns:
+        assert [r[name] for r in twice.collect()] == ["kept"] * 4
+
+
+def test_one_scan_and_one_shuffle_of_the_target(spark, path):
+    rows = [("u", f"a{i}", T1, "1.00") for i in range(50)]
+    sinks.write_partitioned(curated_frame(spark, rows), path)
+    target = read_table(spark, path, CURATED_TRANSACTIONS)
+    source = curated_frame(spark, rows[:20])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for policy in ("error", "keep_all", "replace"):
+            plan = plan_of(matched_rows(target, source, TRANSACTION_KEY, on_duplicate=policy))
+            assert plan.count("FileScan") == 1 and plan.count("SortMergeJoin") == 1
+            assert plan.count("Exchange") == 2  # one of the target, one of the source
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rows_without_a_key_are_spread(spark):
+    rows = curated_frame(spark, [("u", None, T1, f"{i}.00") for i in range(1000)])
+    source = curated_frame(spark, [("u", "a", T1, "2.00")])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = matched_rows(rows, source, TRANSACTION_KEY).withColumn("task", F.spark_partition_id())
+        sizes = [r["count"] for r in joined.groupBy("task").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 1000 and max(sizes) < 400
+
+
+def test_a_hot_key_is_split_over_tasks(spark):
+    """A key with a third of the target: adaptive execution splits its side of the left join."""
+    hot = spark.range(120_000).selectExpr(
+        "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS account_id", "TIMESTAMP '2024-01-01 10:00:00' AS event_time", "id", "repeat('x', 50) AS pad"
+    )
+    source = hot.where("id < 30").selectExpr("account_id", "event_time", "-id AS id").dropDuplicates(["account_id"])
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+    }
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    try:
+        joined = matched_rows(hot.repartition(8), source, TRANSACTION_KEY, on_duplicate="keep_all")
+        by_task = joined.groupBy(F.spark_partition_id().alias("task"))
+        sizes = [r["count"] for r in by_task.agg(F.count(F.when(F.col("account_id") == "hot", 1)).alias("count")).collect()]
+    finally:
+        for name in changed:
+            spark.conf.unset(name)
+    assert sum(sizes) == 40_000 and max(sizes) < 30_000
+
+
+def _stops_at(monkeypatch, name, call):
+    """Let the given call of a file operation fail, as if the driver had died there."""
+    real, calls = getattr(folders, name), []
+
+    def failing(*args):
+        calls.append(args)
+        if len(calls) == call:
+            raise OSError("lost")
+        return real(*args)
+
+    monkeypatch.setattr(folders, name, failing)
+
+
+@pytest.mark.parametrize(("operation", "call", "new"), [("rename", 1, False), ("rename", 2, True), ("remove", 1, False), ("remove", 2, True)])
+def test_a_replacement_that_is_cut_off_loses_nothing(spark, path, monkeypatch, operation, call, new):
+    old, revised = {"2024-01-01": 0.1, "2024-01-02": 0.2}, {"2024-01-02": 0.9}
+    sinks.write_table(rate_frame(spark, old), path)
+    with monkeypatch.context() as patched:
+        _stops_at(patched, operation, call)
+        with pytest.raises(OSError, match="lost"):
+            upsert_table(spark, path, rate_frame(spark, revised), RATE_KEY, RATES)
+    sinks.settle_table(spark, path)
+    want = {**old, **revised} if new else old
+    assert {str(d): v for d, v in read_table(spark, path, RATES).collect()} == want
+    upsert_table(spark, path, rate_frame(spark, {"2024-01-03": 0.3}), RATE_KEY, RATES)
+    assert {str(d): v for d, v in read_table(spark, path, RATES).collect()} == {**want, "2024-01-03": 0.3}
+    assert not os.path.exists(f"{path}.next") and not os.path.exists(f"{path}.former")
+
+
+def test_a_write_that_fails_leaves_the_old_rates(spark, path):
+    sinks.write_table(rate_frame(spark, {"2024-01-01": 0.1}), path)
+    bad = rate_frame(spark, {"2024-01-02": 0.2}).withColumn("valor", F.raise_error(F.lit("lost")).cast("double"))
+    with pytest.raises(PySparkException, match="lost"):
+        sinks.rewrite_table(bad, path)
+    sinks.settle_table(spark, path)
+    assert read_table(spark, path, RATES).collect() == [(dt.date(2024, 1, 1), 0.1)]
+
+
+def test_upserts_leave_no_scratch_behind(spark, path):
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root))
+    for amount in ("1.00", "2.00"):
+        upsert_partitioned(
+            spark, path, curated_frame(spark, [("u", "a", T1, amount)]), TRANSACTION_KEY, CURATED_TRANSACTIONS, materialize=True
+        )
+    assert amounts(read_table(spark, path, CURATED_TRANSACTIONS)) == [("a", 2.0)]
+    assert set(os.listdir(root)) == before
