@@ -260,6 +260,12 @@ SELECT k.date, user_id, account_id, strftime(event_time, {STAMP}) AS event_time,
 FROM kept k LEFT JOIN curated_rates r ON k.date = r.date WHERE k.date IN ({chosen})"""
 
 
+# Late movements of four days came in, those of other days never did.
+TX_LATE = TX.replace("tx AS (", "all_tx AS (") + f""",
+tx AS (
+  SELECT * FROM all_tx WHERE event_id % 3 <> 0 OR date < DATE '{REDELIVERY_FROM}'
+     OR date IN (DATE '{REDELIVERY_FROM}', DATE '{EVE}', DATE '{DAY}', DATE '{WEEKEND}'))"""
+
 PAYLOAD = "strftime(date, '%d/%m/%Y') AS data, CAST(valor AS VARCHAR) AS valor"
 
 ORACLES: dict[str, str] = {
@@ -355,6 +361,11 @@ ORACLES: dict[str, str] = {
     "curate_arrivals": f"WITH {TX}, {LATEST_TX} SELECT {TX_COLUMNS} FROM kept",
     "payouts_of_days": _chain(
         TX, RATES, f"SELECT * FROM payouts WHERE date <= DATE '{DAY}'"),
+    "totals_restated": f"""WITH {TX_LATE},
+        days AS (SELECT unnest([DATE '{EVE}', DATE '2024-01-31']) AS date)
+        SELECT user_id, account_id, CAST(SUM(amount) AS DOUBLE) AS total, days.date
+        FROM tx JOIN days ON tx.date <= days.date GROUP BY ALL""",
+    "payouts_restated": _chain(TX_LATE, RATES, "SELECT * FROM payouts WHERE date <= DATE '2024-01-31'"),
     "tx_quality": f"WITH {TX}, {_quality('account_id, event_time')}",
     "tx_quality_orders": f"WITH {TX_ORDERS}, {_quality('account_id, event_time')}",
     "rate_quality": f"""WITH {TX.replace('tx AS', 'all_tx AS')}, {RATES},

@@ -21,7 +21,8 @@ from tallybook.operators.merge import merge_upsert, upsert_partitioned, upsert_t
 from tallybook.operators.quality import dedup_latest, key_quality
 from tallybook.operators.snapshot import daily_snapshot
 from tallybook.plans.curate import curate_day, curate_rate_day, curate_transactions_day
-from tallybook.plans.payouts import payouts_day, payouts_range
+from tallybook.plans.payouts import payouts_day, payouts_range, restate_payouts
+from tallybook.plans.totals import refresh_totals
 from tallybook.plans.zones import Zones
 from tallybook.schemas import (
     ACCOUNT_KEY,
@@ -30,6 +31,7 @@ from tallybook.schemas import (
     PAYOUTS,
     RATE_KEY,
     RATES,
+    TOTALS,
     TRANSACTION_KEY,
     TRANSACTIONS,
 )
@@ -586,6 +588,43 @@ def payouts_of_days(spark, sf_dir):
     return read_table(spark, zones.payouts, PAYOUTS)
 
 
+def _late_halves(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Movements in time, and a third of those from a day on, which arrive when payouts are already there."""
+    tx = _numbered_events(spark, sf_dir)
+    late = (F.col("event_id") % 3 == 0) & (F.col("date") >= F.lit(REDELIVERY_FROM))
+    return tx.where(~late).select(*TRANSACTIONS.fieldNames()), tx.where(late).select(*TRANSACTIONS.fieldNames())
+
+
+def _with_late_movements(spark, sf_dir, name: str) -> Zones:
+    zones = _zones(spark, name)
+    in_time, late = _late_halves(spark, sf_dir)
+    sinks.write_table(sample.rates(spark, sf_dir), zones.rates)
+    upsert_partitioned(
+        spark, zones.transactions, in_time.withColumn("date", F.to_date("event_time")), TRANSACTION_KEY, CURATED_TRANSACTIONS
+    )
+    payouts_range(spark, zones, dt.date(2024, 1, 1), EVE)
+    payouts_range(spark, zones, DAY, dt.date(2024, 1, 31))
+    for day in (REDELIVERY_FROM, EVE, DAY, WEEKEND):
+        curate_transactions_day(spark, zones, late, day)
+    return zones
+
+
+@query("totals_restated")
+def totals_restated(spark, sf_dir):
+    """Totals of two days after late movements of several days."""
+    zones = _with_late_movements(spark, sf_dir, "totals")
+    refresh_totals(spark, zones)
+    return _comparable(read_table(spark, zones.totals, TOTALS))
+
+
+@query("payouts_restated")
+def payouts_restated(spark, sf_dir):
+    """Late movements of several days, folded again for their accounts only."""
+    zones = _with_late_movements(spark, sf_dir, "restated")
+    restate_payouts(spark, zones)
+    return read_table(spark, zones.payouts, PAYOUTS)
+
+
 # --- quality ---
 
 @query("tx_quality")

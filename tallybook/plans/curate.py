@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tallybook.functions.interest import as_date
 from tallybook.operators.balances import curate_transactions
 from tallybook.operators.merge import upsert_partitioned, upsert_table
+from tallybook.plans.totals import mark_touched
 from tallybook.plans.zones import Zones
 from tallybook.schemas import CURATED_TRANSACTIONS, RATE_KEY, RATES, TRANSACTION_KEY
 from tallybook.sources.rates import curate_rates, read_landed_rates
 from tallybook.sources.tables import read_transactions
+from tallybook.sources.workspace import scratch
 
 log = logging.getLogger(__name__)
 
@@ -35,13 +37,16 @@ def curate_day(
 def curate_transactions_day(
     spark: SparkSession, zones: Zones, raw: DataFrame, day: dt.date, **policy
 ) -> None:
-    arrived = curate_transactions(raw, day)
-    if arrived.isEmpty():
-        log.info("no transactions for %s", day)
-        return
-    upsert_partitioned(
-        spark, zones.transactions, arrived, TRANSACTION_KEY, CURATED_TRANSACTIONS, days=[day], **policy
-    )
+    with scratch(spark) as copies:
+        # The raw files are scanned once, whatever reads the day's rows afterwards.
+        arrived = copies.keep(curate_transactions(raw, day), "arrived")
+        if arrived.isEmpty():
+            log.info("no transactions for %s", day)
+            return
+        mark_touched(spark, zones, arrived, [day])
+        upsert_partitioned(
+            spark, zones.transactions, arrived, TRANSACTION_KEY, CURATED_TRANSACTIONS, days=[day], **policy
+        )
 
 
 def curate_rate_day(spark: SparkSession, zones: Zones, day: dt.date) -> None:

@@ -32,9 +32,13 @@ def land_rate_day(
 
 
 def run_day(
-    spark: SparkSession, zones: Zones, business_date: str | dt.date, payload: str | None
+    spark: SparkSession, zones: Zones, business_date: str | dt.date, payload: str | None, **policy
 ) -> None:
-    """Land the rate, curate the day, and write its payouts. Repeating a day is harmless."""
+    """Land the rate, curate the day, and write its payouts. Repeating a day is harmless.
+
+    ``policy`` is that of ``upsert_partitioned``. By default all rows delivered for a key take the place of those
+    stored for it, so movements of one account in one instant can be curated again.
+    """
     land_rate_day(spark, zones, business_date, payload)
-    curate_day(spark, zones, business_date)
+    curate_day(spark, zones, business_date, **{"on_duplicate": "replace", **policy})
     payouts_day(spark, zones, business_date)

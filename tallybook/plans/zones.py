@@ -28,3 +28,31 @@ class Zones:
     @property
     def payouts(self) -> str:
         return f"{self.base}/analytics/payouts"
+
+    @property
+    def totals(self) -> str:
+        """Sums per account by day; they stand for all earlier movements."""
+        return f"{self.base}/analytics/totals"
+
+    def touched(self, of: str) -> str:
+        """Accounts with movements that came after the table ``of`` had passed their day."""
+        return f"{self.base}/analytics/touched_{of}"
+
+    @property
+    def manifest(self) -> str:
+        """What is known of each raw file."""
+        return f"{self.base}/curated/manifest"
+
+    @property
+    def ledger_state(self) -> str:
+        """Where the ledger of each account stands."""
+        return f"{self.base}/analytics/ledger_state"
+
+    @property
+    def ledger(self) -> str:
+        return f"{self.base}/analytics/ledger"
+
+    @property
+    def rejected(self) -> str:
+        """Raw rows that break a rule, with the reasons."""
+        return f"{self.base}/curated/rejected"

@@ -36,6 +36,17 @@ PAYOUTS = T.StructType([
     T.StructField("saldo_final", T.DoubleType()),
     T.StructField("date", T.DateType()),
 ])
+TOTALS = T.StructType([
+    T.StructField("user_id", T.StringType()),
+    T.StructField("account_id", T.StringType()),
+    T.StructField("total", T.DecimalType(38, 2)),
+    T.StructField("date", T.DateType()),
+])
+TOUCHED = T.StructType([
+    T.StructField("user_id", T.StringType()),
+    T.StructField("account_id", T.StringType()),
+    T.StructField("date", T.DateType()),
+])
 LEDGER_COLUMNS = [
     "user_id", "account_id", "event_date", "saldo_dia_anterior", "movimentacao_dia",
     "horario_saldo_elegivel", "event_time", "valor_cdi", "saldo_dia_anterior_corrigido",

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallybook.operators.merge import upsert_partitioned
+from tallybook.operators.merge import partition_days, upsert_partitioned
+from tallybook.plans.totals import mark_touched
 from tallybook.plans.zones import Zones
 from tallybook.schemas import CURATED_TRANSACTIONS, TRANSACTION_KEY, TRANSACTIONS
 from tallybook.sources.tables import with_declared
@@ -36,9 +37,11 @@ def curate_arrivals(
         dated = with_declared(batch, TRANSACTIONS).where(F.col("event_time").isNotNull()).withColumn(
             "date", F.to_date("event_time")
         )
+        days = partition_days(dated, "date")
+        mark_touched(batch.sparkSession, zones, dated, days)
         upsert_partitioned(
             batch.sparkSession, zones.transactions, dated, TRANSACTION_KEY, CURATED_TRANSACTIONS,
-            **policy,
+            days=days, **policy,
         )
 
     return (
