@@ -355,6 +355,13 @@ ORACLES: dict[str, str] = {
         FROM payouts GROUP BY date"""),
     "curate_day": _curated(DAY, EVE, WEEKEND),
     "curate_no_data": _curated(DAY),
+    "curate_range": f"""WITH {TX}, {RATES} SELECT {TX_COLUMNS.replace(', date', ', tx.date')}, rates.valor
+        FROM tx LEFT JOIN rates ON tx.date = rates.date
+        WHERE tx.date BETWEEN DATE '{REDELIVERY_FROM}' AND DATE '{WEEKEND}'""",
+    "curate_mixed_files": f"""WITH {TX} SELECT {TX_COLUMNS}, CASE WHEN event_id % 2 = 1 THEN channel END AS channel
+        FROM tx WHERE date IN (DATE '{EVE}', DATE '{DAY}')""",
+    "file_manifest": f"""WITH {TX} SELECT min(date) AS first_day, max(date) AS last_day, count(*) AS row_count,
+        CAST(0 AS BIGINT) AS undated FROM tx GROUP BY CAST(floor((day(date) - 1) / 7) AS INTEGER)""",
     "curate_evolved": f"""WITH {TX} SELECT {TX_COLUMNS}, channel FROM tx
         WHERE date IN (DATE '{EVE}', DATE '{DAY}')""",
     "curate_orders": f"WITH {TX_ORDERS} SELECT {TX_COLUMNS} FROM tx",

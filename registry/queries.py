@@ -20,7 +20,7 @@ from tallybook.operators.ledger import ledger, ledger_report
 from tallybook.operators.merge import merge_upsert, upsert_partitioned, upsert_table
 from tallybook.operators.quality import dedup_latest, key_quality
 from tallybook.operators.snapshot import daily_snapshot
-from tallybook.plans.curate import curate_day, curate_rate_day, curate_transactions_day
+from tallybook.plans.curate import curate_day, curate_range, curate_rate_day, curate_transactions_day
 from tallybook.plans.payouts import payouts_day, payouts_range, restate_payouts
 from tallybook.plans.totals import refresh_totals
 from tallybook.plans.zones import Zones
@@ -38,7 +38,8 @@ from tallybook.schemas import (
 from tallybook.sources import rates as rate_source
 from tallybook.sources import sample_tables as sample
 from tallybook.sources import sinks
-from tallybook.sources.tables import empty_table, read_table, read_transactions, table_exists
+from tallybook.sources.manifest import read_transactions, refresh_manifest
+from tallybook.sources.tables import empty_table, read_table, table_exists
 from tallybook.sources.workspace import fresh_dir
 from tallybook.streaming.arrivals import curate_arrivals
 
@@ -534,6 +535,39 @@ def curate_days(spark, sf_dir):
     return _curated_with_rate(spark, zones)
 
 
+@query("curate_range")
+def curate_days_at_once(spark, sf_dir):
+    """A span of days in one run, then one of them again."""
+    zones = _landed(spark, sf_dir, "curate-range")
+    curate_range(spark, zones, REDELIVERY_FROM, WEEKEND)
+    curate_range(spark, zones, EVE, DAY)
+    return _curated_with_rate(spark, zones)
+
+
+@query("curate_mixed_files")
+def curate_mixed_files(spark, sf_dir):
+    """Files with decimal and with floating-point amounts, one kind with a column more, in one directory."""
+    zones = _zones(spark, "mixed")
+    tx = sample.transactions_from_events(spark, sf_dir)
+    even, odd = (tx.where(F.col("event_id") % 2 == n).drop("event_id") for n in (0, 1))
+    even.drop("channel").write.parquet(zones.raw_transactions)
+    odd.withColumn("amount", F.col("amount").cast("double")).write.mode("append").parquet(zones.raw_transactions)
+    curate_range(spark, zones, EVE, DAY)
+    return _comparable(read_table(spark, zones.transactions))
+
+
+@query("file_manifest")
+def file_manifest(spark, sf_dir):
+    """What the manifest says of raw files, one delivery a week, taken together by their first day."""
+    zones = _zones(spark, "manifest")
+    tx = sample.transactions(spark, sf_dir)
+    for week in range(5):
+        rows = tx.where(F.floor((F.dayofmonth("event_time") - 1) / 7) == week).coalesce(1)
+        rows.write.mode("append").parquet(zones.raw_transactions)
+        manifest = refresh_manifest(spark, zones.raw_transactions, zones.manifest)
+    return manifest.where("rows > 0").select("first_day", "last_day", F.col("rows").alias("row_count"), "undated")
+
+
 @query("curate_no_data")
 def curate_no_data(spark, sf_dir):
     zones = _landed(spark, sf_dir, "curate-none")

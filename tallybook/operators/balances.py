@@ -22,6 +22,12 @@ def curate_transactions(tx: DataFrame, business_date: str | dt.date) -> DataFram
     return filter_business_date(tx, business_date).withColumn("date", F.to_date("event_time"))
 
 
+def dated_between(tx: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """Transactions of some days with their ``date`` partition column; pushed down as a time range as well."""
+    day = F.to_date("event_time")
+    return tx.where((day >= F.lit(first)) & (day <= F.lit(last))).withColumn("date", day)
+
+
 def _summed(tx: DataFrame, name: str) -> DataFrame:
     return tx.groupBy(*ACCOUNT_KEY).agg(F.coalesce(F.sum("amount"), F.lit(0)).alias(name))
 

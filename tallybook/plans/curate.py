@@ -1,4 +1,4 @@
-"""Raw to curated, one business date."""
+"""Raw to curated, for one business date or a range."""
 
 from __future__ import annotations
 
@@ -8,13 +8,13 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 
 from tallybook.functions.interest import as_date
-from tallybook.operators.balances import curate_transactions
-from tallybook.operators.merge import upsert_partitioned, upsert_table
+from tallybook.operators.balances import dated_between
+from tallybook.operators.merge import partition_days, upsert_partitioned, upsert_table
 from tallybook.plans.totals import mark_touched
 from tallybook.plans.zones import Zones
 from tallybook.schemas import CURATED_TRANSACTIONS, RATE_KEY, RATES, TRANSACTION_KEY
-from tallybook.sources.rates import curate_rates, read_landed_rates
-from tallybook.sources.tables import read_transactions
+from tallybook.sources.manifest import files_of_days, read_groups, refresh_manifest
+from tallybook.sources.rates import curate_rates, read_landed_days, read_landed_rates
 from tallybook.sources.workspace import scratch
 
 log = logging.getLogger(__name__)
@@ -29,23 +29,45 @@ def curate_day(
     kept when they are first written, and a repeated delivery of such a day fails: name what makes
     a row the latest (``on_duplicate="latest"``, ``latest_by``) to curate it again.
     """
-    day = as_date(business_date)
-    curate_transactions_day(spark, zones, read_transactions(spark, zones.raw_transactions), day, **policy)
-    curate_rate_day(spark, zones, day)
+    curate_range(spark, zones, business_date, business_date, **policy)
+
+
+def curate_range(
+    spark: SparkSession, zones: Zones, from_date: str | dt.date, to_date: str | dt.date, **policy
+) -> None:
+    """Upsert the transactions and rates of all days from one to the other; the same rows as ``curate_day`` for each of them.
+
+    Only raw files that hold one of the days are opened, once; the manifest knows which, and what columns they have.
+    """
+    first, last = as_date(from_date), as_date(to_date)
+    manifest = refresh_manifest(spark, zones.raw_transactions, zones.manifest)
+    groups = files_of_days(manifest, first, last)
+    if groups:
+        curate_transactions_range(spark, zones, read_groups(spark, groups), first, last, **policy)
+    else:
+        log.info("no transactions from %s to %s", first, last)
+    curate_rate_range(spark, zones, first, last)
 
 
 def curate_transactions_day(
     spark: SparkSession, zones: Zones, raw: DataFrame, day: dt.date, **policy
 ) -> None:
+    curate_transactions_range(spark, zones, raw, day, day, **policy)
+
+
+def curate_transactions_range(
+    spark: SparkSession, zones: Zones, raw: DataFrame, first: dt.date, last: dt.date, **policy
+) -> None:
+    """Upsert the raw rows of some days. They are scanned once and staged, whatever reads them afterwards."""
     with scratch(spark) as copies:
-        # The raw files are scanned once, whatever reads the day's rows afterwards.
-        arrived = copies.keep(curate_transactions(raw, day), "arrived")
-        if arrived.isEmpty():
-            log.info("no transactions for %s", day)
+        arrived = copies.keep(dated_between(raw, first, last), "arrived")
+        days = partition_days(arrived, "date")
+        if not days:
+            log.info("no transactions from %s to %s", first, last)
             return
-        mark_touched(spark, zones, arrived, [day])
+        mark_touched(spark, zones, arrived, days)
         upsert_partitioned(
-            spark, zones.transactions, arrived, TRANSACTION_KEY, CURATED_TRANSACTIONS, days=[day], **policy
+            spark, zones.transactions, arrived, TRANSACTION_KEY, CURATED_TRANSACTIONS, days=days, **policy
         )
 
 
@@ -55,3 +77,15 @@ def curate_rate_day(spark: SparkSession, zones: Zones, day: dt.date) -> None:
         log.info("no rate for %s", day)
         return
     upsert_table(spark, zones.rates, arrived, RATE_KEY, RATES, on_duplicate="latest", latest_by=["valor"])
+
+
+def curate_rate_range(spark: SparkSession, zones: Zones, first: dt.date, last: dt.date) -> None:
+    """Upsert the landed rates of some days in one go; the landing date is the key."""
+    if first == last:
+        curate_rate_day(spark, zones, first)
+        return
+    arrived = read_landed_days(spark, zones.raw_rates, first, last)
+    if arrived.isEmpty():
+        log.info("no rates from %s to %s", first, last)
+        return
+    upsert_table(spark, zones.rates, arrived, RATE_KEY, RATES, on_duplicate="latest", latest_by=["valor"])

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.functions.interest import as_date, rate_fraction
-from tallybook.schemas import PAYLOAD_DATE_FORMAT, RATE_PAYLOAD, RATE_RECORDS
+from tallybook.schemas import PAYLOAD_DATE_FORMAT, RATE_PAYLOAD, RATE_RECORDS, RATES
 from tallybook.sources.tables import empty_table, is_missing_path
 
 log = logging.getLogger(__name__)
@@ -76,6 +76,22 @@ def read_landed_rates(
         return empty_table(spark, RATE_PAYLOAD)
 
 
+def read_landed_days(
+    spark: SparkSession, root: str, first: dt.date, last: dt.date
+) -> DataFrame:
+    """Curated rows of the rates landed for some days; days that were never landed give none."""
+    # The folder and a column of the records are both named ``data``, so the day is taken from the file's path.
+    day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), r"/data=(\d{4}-\d{2}-\d{2})/", 1))
+    names = ",".join((first + dt.timedelta(days=n)).isoformat() for n in range((last - first).days + 1))
+    try:
+        landed = spark.read.schema(RATE_PAYLOAD).json(f"{root}/data={{{names}}}")
+    except AnalysisException as error:
+        if not is_missing_path(error):
+            raise
+        return empty_table(spark, RATES)
+    return landed.select(day.alias("date"), F.col("valor").try_cast("double").alias("valor"))
+
+
 def curate_rates(landed: DataFrame, business_date: str | dt.date) -> DataFrame:
     """Landed records of one day to curated rows; the run date is the key."""
     return landed.select(

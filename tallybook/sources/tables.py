@@ -10,8 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallybook.schemas import TRANSACTIONS
-
 
 def is_missing_path(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
@@ -21,14 +19,6 @@ def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def read_transactions(spark: SparkSession, path: str) -> DataFrame:
-    """Raw transactions directory with the columns of its footers.
-
-    Declared columns get their types, whatever numeric type the files have; all others are kept.
-    """
-    return with_declared(spark.read.option("mergeSchema", "true").parquet(path), TRANSACTIONS)
-
-
 def read_table(
     spark: SparkSession, path: str, schema: StructType | None = None
 ) -> DataFrame:

@@ -13,8 +13,11 @@ from pyspark.sql.streaming import StreamingQuery
 from tallybook.operators.merge import partition_days, upsert_partitioned
 from tallybook.plans.totals import mark_touched
 from tallybook.plans.zones import Zones
-from tallybook.schemas import CURATED_TRANSACTIONS, TRANSACTION_KEY, TRANSACTIONS
-from tallybook.sources.tables import with_declared
+from tallybook.schemas import CURATED_TRANSACTIONS, TRANSACTION_KEY
+from tallybook.sources.manifest import file_groups, read_groups
+from tallybook.sources.workspace import scratch
+
+_LISTED = "path string, modificationTime timestamp, length long, content binary"
 
 
 def curate_arrivals(
@@ -26,26 +29,29 @@ def curate_arrivals(
     that is repeated after a failure upserts the same rows again, which changes nothing unless
     rows repeat a key: those are all kept when first written, and matching them again fails, as
     does a key that several later rows match, unless ``policy`` (that of ``upsert_partitioned``)
-    says which is the latest. Columns that no schema declares are kept; those the files have when
-    the call starts are read.
+    says which is the latest. The stream hands over the names of new files, and only their footers are read: columns that
+    no schema declares are kept, and files may differ in their types.
     """
-    reader = spark.readStream.schema(spark.read.option("mergeSchema", "true").parquet(zones.raw_transactions).schema)
+    reader = spark.readStream.format("binaryFile").schema(_LISTED).option("pathGlobFilter", "*.parquet")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def upsert(batch: DataFrame, _: int) -> None:
-        dated = with_declared(batch, TRANSACTIONS).where(F.col("event_time").isNotNull()).withColumn(
-            "date", F.to_date("event_time")
-        )
-        days = partition_days(dated, "date")
-        mark_touched(batch.sparkSession, zones, dated, days)
-        upsert_partitioned(
-            batch.sparkSession, zones.transactions, dated, TRANSACTION_KEY, CURATED_TRANSACTIONS,
-            days=days, **policy,
-        )
+        session = batch.sparkSession
+        paths = [r["path"] for r in batch.select("path").orderBy("path").collect()]
+        rows = read_groups(session, file_groups(session, paths)).where(F.col("event_time").isNotNull())
+        with scratch(session) as copies:
+            dated = copies.keep(rows.withColumn("date", F.to_date("event_time")), "arrived")
+            days = partition_days(dated, "date")
+            mark_touched(session, zones, dated, days)
+            upsert_partitioned(
+                session, zones.transactions, dated, TRANSACTION_KEY, CURATED_TRANSACTIONS,
+                days=days, **policy,
+            )
 
     return (
-        reader.parquet(zones.raw_transactions)
+        reader.load(zones.raw_transactions)
+        .select("path")
         .writeStream.foreachBatch(upsert)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

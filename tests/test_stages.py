@@ -17,7 +17,8 @@ from tallybook.plans.zones import Zones
 from tallybook.schemas import CURATED_TRANSACTIONS, PAYOUTS, RATE_PAYLOAD, RATES
 from tallybook.sources import rates as rate_source
 from tallybook.sources import sinks
-from tallybook.sources.tables import empty_table, read_table, read_transactions, table_exists
+from tallybook.sources.manifest import read_transactions
+from tallybook.sources.tables import empty_table, read_table, table_exists
 from tests.fixtures import as_set, curated_frame, plan_of, rate_frame, tx_frame
 
 
