@@ -337,6 +337,7 @@ ORACLES: dict[str, str] = {
         f"l.event_date BETWEEN DATE '{REDELIVERY_FROM}' AND DATE '{FIRST_DELIVERY_TO}'"),
     "ledger_report": _ledger(TX, RATES, columns=REPORT_COLUMNS),
     "ledger_orders": _ledger(TX_ORDERS, RATES_ORDERS),
+    "ledger_continued": _ledger(TX, RATES, "l.event_date <= DATE '2024-01-31'"),
     "daily_snapshot": _snapshot(),
     "opening_balance": _snapshot("user_id, account_id, saldo_a_mais_24_horas"),
     "eligible_balance": _snapshot("user_id, account_id, saldo_elegivel"),

@@ -21,12 +21,15 @@ from tallybook.operators.merge import merge_upsert, upsert_partitioned, upsert_t
 from tallybook.operators.quality import dedup_latest, key_quality
 from tallybook.operators.snapshot import daily_snapshot
 from tallybook.plans.curate import curate_day, curate_range, curate_rate_day, curate_transactions_day
+from tallybook.plans.ledger import ledger_until
 from tallybook.plans.payouts import payouts_day, payouts_range, restate_payouts
 from tallybook.plans.totals import refresh_totals
 from tallybook.plans.zones import Zones
 from tallybook.schemas import (
     ACCOUNT_KEY,
     CURATED_TRANSACTIONS,
+    LEDGER,
+    LEDGER_COLUMNS,
     PAYOUT_KEY,
     PAYOUTS,
     RATE_KEY,
@@ -442,6 +445,21 @@ def ledger_orders(spark, sf_dir):
     ))
 
 
+@query("ledger_continued")
+def ledger_continued(spark, sf_dir):
+    """Four runs, each from the state the one before left; late movements make one of them go back."""
+    zones = _zones(spark, "ledger")
+    sinks.write_table(sample.rates(spark, sf_dir), zones.rates)
+    in_time, late = _late_halves(spark, sf_dir)
+    dated = [rows.withColumn("date", F.to_date("event_time")) for rows in (in_time, late)]
+    upsert_partitioned(spark, zones.transactions, dated[0], TRANSACTION_KEY, CURATED_TRANSACTIONS)
+    for day in (dt.date(2024, 1, 8), EVE, WEEKEND):
+        ledger_until(spark, zones, day)
+    upsert_partitioned(spark, zones.transactions, dated[1], TRANSACTION_KEY, CURATED_TRANSACTIONS)
+    ledger_until(spark, zones, dt.date(2024, 1, 31), from_date=REDELIVERY_FROM)
+    return _comparable(read_table(spark, zones.ledger, LEDGER).select(*LEDGER_COLUMNS))
+
+
 # --- snapshots ---
 
 def _snapshot(spark, sf_dir):

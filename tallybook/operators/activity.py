@@ -48,6 +48,7 @@ def activity_lag(activity: DataFrame) -> DataFrame:
         "movimentacao_dia",
         F.lag("event_time").over(w).alias("horario_saldo_elegivel"),
         "event_time",
+        *[c for c in activity.columns if c == "stored_balance"],
     )
 
 

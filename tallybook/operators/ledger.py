@@ -22,9 +22,12 @@ from tallybook.schemas import (
     HELD_HOURS,
     LEDGER_COLUMNS,
     LEDGER_REPORT_COLUMNS,
+    LEDGER_STATE,
     MINIMUM_BALANCE,
 )
 
+_MOVEMENT = LEDGER_STATE["movimentacao_dia"].dataType
+
 
 def ledger(
     tx: DataFrame,
@@ -47,6 +50,44 @@ def ledger(
     return running_ledger(activity_with_rate(active, rates), minimum, held_hours)
 
 
+def continue_ledger(
+    tx: DataFrame,
+    rates: DataFrame,
+    state: DataFrame,
+    *,
+    minimum: float = MINIMUM_BALANCE,
+    held_hours: float = HELD_HOURS,
+) -> DataFrame:
+    """Ledger rows of movements that come after the days ``state`` has seen.
+
+    ``state`` is that of ``ledger_state``: each account goes on from its balance, with its last active day for
+    the look-back, as if all days had been folded at once. Accounts without a state start at zero.
+    """
+    stored = state.select(
+        *ACCOUNT_KEY, "event_date", "movimentacao_dia", "event_time", F.col("balance").alias("stored_balance")
+    )
+    # An account's state is its first element: it sets the balance, and gives no row.
+    known = daily_activity(tx).unionByName(stored, allowMissingColumns=True)
+    active = activity_between(activity_lag(known))
+    return running_ledger(activity_with_rate(active, rates), minimum, held_hours)
+
+
+def ledger_state(rows: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """Where each account stands after ledger rows: its last active day, and the balance after it.
+
+    Accounts without new rows keep the former state. The greatest day is taken by a combinable maximum.
+    """
+    last = rows.select(
+        *ACCOUNT_KEY, "event_date", F.col("movimentacao_dia").cast(_MOVEMENT).alias("movimentacao_dia"), "event_time",
+        F.col("total").alias("balance"),
+    )
+    if state is not None:
+        last = state.select(*last.columns).unionByName(last)
+    stand = [c for c in last.columns if c not in ACCOUNT_KEY]
+    kept = last.groupBy(*ACCOUNT_KEY).agg(F.max(F.struct(*stand)).alias("kept"))
+    return kept.select(*ACCOUNT_KEY, "kept.*")
+
+
 def running_ledger(
     active: DataFrame, minimum: float = MINIMUM_BALANCE, held_hours: float = HELD_HOURS
 ) -> DataFrame:
@@ -54,11 +95,13 @@ def running_ledger(
 
     An account's array has one element per active day, so the calendar bounds it however
     many transactions the account has. The rows still have the look-back's partitioning
-    by account, so collecting them needs no further shuffle.
+    by account, so collecting them needs no further shuffle. Rows with a ``stored_balance`` only set the balance.
     """
+    stored = F.col("stored_balance") if "stored_balance" in active.columns else F.lit(None)
     day = F.struct(
         "event_date", "saldo_dia_anterior", "movimentacao_dia", "horario_saldo_elegivel",
         "event_time", "valor_cdi",
+        stored.cast("double").alias("stored"),
         F.col("movimentacao_dia").cast("double").alias("movement"),
         held_rate(
             F.col("valor_cdi"), F.col("event_time"), F.col("horario_saldo_elegivel"), held_hours
@@ -70,7 +113,9 @@ def running_ledger(
     opening = running_openings(
         F.col("days"),
         F.lit(0.0),
-        lambda balance, d: balance + d["movement"] + held_interest(balance, d["rate"], minimum),
+        lambda balance, d: F.coalesce(
+            d["stored"], balance + d["movement"] + held_interest(balance, d["rate"], minimum)
+        ),
     )
     carried = F.col("saldo_dia_anterior_corrigido")
     return (
@@ -78,6 +123,7 @@ def running_ledger(
         .withColumn("saldo_dia_anterior_corrigido", opening)
         .select(*ACCOUNT_KEY, F.inline(F.arrays_zip("days", "saldo_dia_anterior_corrigido")))
         .select(*ACCOUNT_KEY, "days.*", "saldo_dia_anterior_corrigido")
+        .where(F.col("stored").isNull())
         .withColumn("cdi_diario", held_interest(carried, F.col("rate"), minimum))
         .withColumn("total", carried + F.col("movement") + F.col("cdi_diario"))
         .select(*LEDGER_COLUMNS)

@@ -47,6 +47,29 @@ TOUCHED = T.StructType([
     T.StructField("account_id", T.StringType()),
     T.StructField("date", T.DateType()),
 ])
+LEDGER_STATE = T.StructType([
+    T.StructField("user_id", T.StringType()),
+    T.StructField("account_id", T.StringType()),
+    T.StructField("event_date", T.TimestampType()),
+    T.StructField("movimentacao_dia", T.DecimalType(28, 2)),
+    T.StructField("event_time", T.TimestampType()),
+    T.StructField("balance", T.DoubleType()),
+    T.StructField("date", T.DateType()),
+])
+LEDGER = T.StructType([
+    T.StructField("user_id", T.StringType()),
+    T.StructField("account_id", T.StringType()),
+    T.StructField("event_date", T.TimestampType()),
+    T.StructField("saldo_dia_anterior", T.DecimalType(28, 2)),
+    T.StructField("movimentacao_dia", T.DecimalType(28, 2)),
+    T.StructField("horario_saldo_elegivel", T.TimestampType()),
+    T.StructField("event_time", T.TimestampType()),
+    T.StructField("valor_cdi", T.DoubleType()),
+    T.StructField("saldo_dia_anterior_corrigido", T.DoubleType()),
+    T.StructField("cdi_diario", T.DoubleType()),
+    T.StructField("total", T.DoubleType()),
+    T.StructField("date", T.DateType()),
+])
 LEDGER_COLUMNS = [
     "user_id", "account_id", "event_date", "saldo_dia_anterior", "movimentacao_dia",
     "horario_saldo_elegivel", "event_time", "valor_cdi", "saldo_dia_anterior_corrigido",
