@@ -6,7 +6,7 @@ scale and round in binary instead differ in the last place now and then.
 
 from __future__ import annotations
 
-from registry.queries import DAY, EVE, FIRST_DELIVERY_TO, PAYOUT_SUMS, REDELIVERY_FROM, WEEKEND
+from registry.queries import DAY, EVE, FIRST_DELIVERY_TO, MOST, PAYOUT_SUMS, REDELIVERY_FROM, WEEKEND
 
 
 def half_up(value: str, scale: int = 8) -> str:
@@ -260,6 +260,22 @@ SELECT k.date, user_id, account_id, strftime(event_time, {STAMP}) AS event_time,
 FROM kept k LEFT JOIN curated_rates r ON k.date = r.date WHERE k.date IN ({chosen})"""
 
 
+# A careless delivery, its faults by column, and of sound rows the copies of a key.
+FAULTY = f"""
+sent AS (SELECT tx.*, unnest(range(CASE WHEN event_id % 71 = 0 THEN 2 ELSE 1 END)) AS copy FROM tx),
+faults AS (
+  SELECT *, CASE WHEN event_id % 89 = 0 THEN 'account_id: missing' END AS f1,
+         CASE WHEN event_id % 83 = 0 THEN 'event_time: type' WHEN event_id % 79 = 0 THEN 'event_time: missing' END AS f2,
+         CASE WHEN event_id % 97 = 0 THEN 'amount: type' WHEN abs(amount) > {MOST} THEN 'amount: range' END AS f3
+  FROM sent),
+judged AS (
+  SELECT *, CASE WHEN f1 IS NULL AND f2 IS NULL AND f3 IS NULL THEN
+           CASE WHEN row_number() OVER (
+             PARTITION BY f1 IS NULL AND f2 IS NULL AND f3 IS NULL, account_id, event_time
+             ORDER BY user_id DESC, amount DESC, channel DESC, event_id DESC) > 1 THEN 'key: repeated' END
+         ELSE concat_ws(', ', f1, f2, f3) END AS reasons
+  FROM faults)"""
+
 # Late movements of four days came in, those of other days never did.
 TX_LATE = TX.replace("tx AS (", "all_tx AS (") + f""",
 tx AS (
@@ -382,4 +398,17 @@ ORACLES: dict[str, str] = {
     "dedup_latest": f"""WITH {TX_ORDERS} SELECT {TX_COLUMNS.replace(', date', '')} FROM (
         SELECT *, row_number() OVER (PARTITION BY account_id, event_time
           ORDER BY amount DESC, user_id DESC) AS rn FROM tx) WHERE rn = 1""",
+    "tx_validated": f"""WITH {TX}, {FAULTY} SELECT user_id, account_id, strftime(event_time, {STAMP}) AS event_time,
+        CAST(amount AS DOUBLE) AS amount, channel, event_id FROM judged WHERE reasons IS NULL""",
+    "tx_rejected": f"WITH {TX}, {FAULTY} SELECT event_id, reasons FROM judged WHERE reasons IS NOT NULL",
+    "reject_reasons": f"""WITH {TX}, {FAULTY} SELECT reason, count(*) AS row_count FROM (
+        SELECT unnest(string_split(reasons, ', ')) AS reason FROM judged WHERE reasons IS NOT NULL) GROUP BY reason""",
+    "curate_validated": f"""WITH {TX}, {FAULTY},
+        days AS (
+          SELECT CASE WHEN f2 IS NULL THEN date END AS date, reasons, amount FROM judged
+          WHERE f2 IS NOT NULL OR date IN (DATE '{EVE}', DATE '{DAY}'))
+        SELECT date, nullif(count(*) FILTER (WHERE reasons IS NULL), 0) AS accepted,
+               CAST(SUM(amount) FILTER (WHERE reasons IS NULL) AS DOUBLE) AS amount,
+               nullif(count(*) FILTER (WHERE reasons IS NOT NULL), 0) AS rejected
+        FROM days GROUP BY date""",
 }

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +20,9 @@ from tallybook.operators.chain import snapshot_chain
 from tallybook.operators.ledger import ledger, ledger_report
 from tallybook.operators.merge import merge_upsert, upsert_partitioned, upsert_table
 from tallybook.operators.quality import dedup_latest, key_quality
+from tallybook.operators.rules import TRANSACTION_RULES, reasons_report, validated
 from tallybook.operators.snapshot import daily_snapshot
-from tallybook.plans.curate import curate_day, curate_range, curate_rate_day, curate_transactions_day
+from tallybook.plans.curate import curate_day, curate_range, curate_rate_day, curate_transactions_day, curate_validated
 from tallybook.plans.ledger import ledger_until
 from tallybook.plans.payouts import payouts_day, payouts_range, restate_payouts
 from tallybook.plans.totals import refresh_totals
@@ -700,3 +702,61 @@ def dedup_latest_orders(spark, sf_dir):
     return _comparable(dedup_latest(
         sample.transactions_from_orders(spark, sf_dir), TRANSACTION_KEY, ["amount"]
     ))
+
+
+# Amounts beyond this are taken for errors.
+MOST = 400
+
+
+def _faulty(spark, sf_dir) -> DataFrame:
+    """Events as delivered by a careless source: all text, some of it broken, some rows sent twice."""
+    tx = sample.transactions_from_events(spark, sf_dir)
+    n = F.col("event_id")
+    broken = tx.select(
+        "user_id",
+        F.when(n % 89 != 0, F.col("account_id")).alias("account_id"),
+        F.when(n % 83 == 0, F.lit("yesterday")).when(n % 79 != 0, F.col("event_time").cast("string")).alias("event_time"),
+        F.when(n % 97 == 0, F.lit("n/a")).otherwise(F.col("amount").cast("string")).alias("amount"),
+        "channel",
+        "event_id",
+    )
+    return broken.unionByName(broken.where(n % 71 == 0))
+
+
+_LIMITED = replace(TRANSACTION_RULES, ranges={"amount": (-MOST, MOST)})
+
+
+def _validated(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    return validated(_faulty(spark, sf_dir), _LIMITED)
+
+
+@query("tx_validated")
+def tx_validated(spark, sf_dir):
+    return _comparable(_validated(spark, sf_dir)[0])
+
+
+@query("tx_rejected")
+def tx_rejected(spark, sf_dir):
+    _, rejected = _validated(spark, sf_dir)
+    return rejected.select("event_id", F.concat_ws(", ", "reasons").alias("reasons"))
+
+
+@query("reject_reasons")
+def reject_reasons(spark, sf_dir):
+    return reasons_report(_validated(spark, sf_dir)[1]).select("reason", F.col("rows").alias("row_count"))
+
+
+@query("curate_validated")
+def curate_validated_days(spark, sf_dir):
+    """Days curated by the rules, twice; beside each the rows that were rejected."""
+    zones = _zones(spark, "validated")
+    _faulty(spark, sf_dir).drop("event_id").write.parquet(zones.raw_transactions)
+    for _ in range(2):
+        curate_validated(spark, zones, EVE, DAY, _LIMITED, on_duplicate="replace")
+    stored = read_table(spark, zones.transactions).groupBy("date").agg(
+        F.count("*").alias("accepted"), F.sum("amount").cast("double").alias("amount")
+    )
+    rejected = read_table(spark, zones.rejected).groupBy("date").agg(F.count("*").alias("rejected"))
+    return stored.join(rejected, stored["date"].eqNullSafe(rejected["date"]), "full").select(
+        F.coalesce(stored["date"], rejected["date"]).alias("date"), "accepted", "amount", "rejected"
+    )

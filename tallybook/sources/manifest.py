@@ -70,20 +70,23 @@ def file_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.Struc
 
 
 def read_groups(
-    spark: SparkSession, groups: Sequence[tuple[T.StructType, list[str]]], schema: T.StructType = TRANSACTIONS
+    spark: SparkSession, groups: Sequence[tuple[T.StructType, list[str]]], schema: T.StructType | None = TRANSACTIONS
 ) -> DataFrame:
     """Files of several schemas as one relation: each group is cast to the declared types, columns a group lacks are NULL.
 
-    A column that no schema declares and that has several types is read as text.
+    A column that no schema declares and that has several types is read as text. Without a schema nothing is cast
+    otherwise: rows come as they are, to be checked.
     """
     kinds: dict[str, set[str]] = {}
     for found, _ in groups:
         for field in found.fields:
             kinds.setdefault(field.name, set()).add(field.dataType.json())
-    mixed = {name for name, types in kinds.items() if len(types) > 1 and name not in schema.fieldNames()}
-    out = empty_table(spark, schema)
+    declared = schema.fieldNames() if schema else []
+    mixed = {name for name, types in kinds.items() if len(types) > 1 and name not in declared}
+    out = empty_table(spark, schema or T.StructType())
     for n, (found, paths) in enumerate(groups):
-        rows = with_declared(spark.read.schema(found).parquet(*paths), schema)
+        rows = spark.read.schema(found).parquet(*paths)
+        rows = with_declared(rows, schema) if schema else rows
         rows = rows.select(*[F.col(c).cast("string").alias(c) if c in mixed else F.col(c) for c in rows.columns])
         out = rows if n == 0 else out.unionByName(rows, allowMissingColumns=True)
     return out
@@ -101,7 +104,8 @@ def _profiled(spark: SparkSession, new: DataFrame) -> DataFrame:
     found = spark.createDataFrame([], "file string, first_day date, last_day date, rows long, undated long")
     for schema, paths in groups:
         rows = spark.read.schema(schema).parquet(*paths)
-        day = F.to_date((F.col(_TIME) if _TIME in rows.columns else F.lit(None)).cast("timestamp"))
+        # A time that cannot be read is none.
+        day = F.to_date((F.col(_TIME) if _TIME in rows.columns else F.lit(None)).try_cast("timestamp"))
         found = found.unionByName(
             rows.groupBy(_plain(F.col("_metadata.file_path")).alias("file")).agg(
                 F.min(day).alias("first_day"), F.max(day).alias("last_day"),
@@ -137,17 +141,25 @@ def refresh_manifest(spark: SparkSession, root: str, path: str) -> DataFrame:
     return read_table_or_empty(spark, path, MANIFEST)
 
 
-def files_of_days(
-    manifest: DataFrame, first: dt.date, last: dt.date
-) -> list[tuple[T.StructType, list[str]]]:
-    """The files that may hold rows of the days, by schema, as ``read_groups`` takes them."""
-    wanted = manifest.where((F.col("first_day") <= F.lit(last)) & (F.col("last_day") >= F.lit(first)))
+def _by_schema(wanted: DataFrame) -> list[tuple[T.StructType, list[str]]]:
     groups: dict[str, list[str]] = {}
     for row in wanted.select("schema", "path").orderBy("path").collect():
         groups.setdefault(row["schema"], []).append(row["path"])
     return [(T.StructType.fromJson(json.loads(schema)), paths) for schema, paths in groups.items()]
 
 
+def files_of_days(
+    manifest: DataFrame, first: dt.date, last: dt.date
+) -> list[tuple[T.StructType, list[str]]]:
+    """The files that may hold rows of the days, by schema, as ``read_groups`` takes them."""
+    return _by_schema(manifest.where((F.col("first_day") <= F.lit(last)) & (F.col("last_day") >= F.lit(first))))
+
+
+def files_undated(manifest: DataFrame) -> list[tuple[T.StructType, list[str]]]:
+    """The files with rows whose time is missing or cannot be read."""
+    return _by_schema(manifest.where("undated > 0"))
+
+
 def read_transactions(spark: SparkSession, path: str) -> DataFrame:
     """Raw transactions directory with the columns of its footers, all of which are read.
 
