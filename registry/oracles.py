@@ -288,6 +288,9 @@ ORACLES: dict[str, str] = {
     "scan_transactions": f"""WITH {TX} SELECT user_id, account_id,
         strftime(event_time, {STAMP}) AS event_time, CAST(amount AS DOUBLE) AS amount FROM tx""",
     "scan_rates_json": f"WITH {RATES} SELECT {PAYLOAD} FROM rates",
+    "rates_rejected": f"""WITH {RATES} SELECT date, reason, unnest(['landing', 'landed']) AS found FROM (
+        SELECT date, CASE day(date) % 7 WHEN 1 THEN 'no array' WHEN 2 THEN 'no number' WHEN 3 THEN 'other day' END AS reason
+        FROM rates) WHERE reason IS NOT NULL""",
     "scan_curated": f"WITH {TX}, {LATEST_TX} SELECT {TX_COLUMNS} FROM kept",
     "rates_from_records": f"""WITH {TX}, {RATES}
         SELECT tx.date, rates.valor, count(*) AS movements, CAST(SUM(amount) AS DOUBLE) AS amount

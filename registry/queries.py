@@ -131,6 +131,33 @@ def scan_rates_json(spark, sf_dir):
     return rate_source.read_landed_rates(spark, zones.raw_rates)
 
 
+def _careless_payloads(spark, sf_dir) -> DataFrame:
+    """Rate answers, some cut off, some of another day, some without a number, some empty."""
+    day = F.dayofmonth("date")
+    good = sample.rate_payloads(sample.rates(spark, sf_dir))
+    return good.select(
+        "date",
+        F.when(day % 7 == 1, F.substring("payload", 1, 20))
+        .when(day % 7 == 2, F.replace("payload", F.lit('"valor":"'), F.lit('"valor":"x')))
+        .when(day % 7 == 3, F.regexp_replace("payload", r"/20\d\d", "/1999"))
+        .when(day % 7 == 4, F.lit("[]"))
+        .otherwise(F.col("payload")).alias("payload"),
+    )
+
+
+@query("rates_rejected")
+def rates_rejected(spark, sf_dir):
+    """Faulty answers kept apart while landing, and those that a writer of its own left in the landing folder."""
+    zones = _zones(spark, "rescue")
+    payloads = _careless_payloads(spark, sf_dir)
+    rate_source.land_rates(payloads, zones.raw_rates, rescue=zones.rescued_rates)
+    first = rate_source.read_rescued_rates(spark, zones.rescued_rates).select("date", "reason", F.lit("landing").alias("found"))
+    cut = payloads.select(F.col("date").alias("data"), F.col("payload").alias("value"))
+    cut.repartition("data").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("data").text(zones.raw_rates)
+    seen = rate_source.rate_faults(rate_source.landed_payloads(spark, zones.raw_rates, dt.date(2024, 1, 1), dt.date(2024, 1, 31)))
+    return first.unionByName(seen.select("date", "reason", F.lit("landed").alias("found")))
+
+
 @query("scan_curated")
 def scan_curated(spark, sf_dir):
     zones = _zones(spark, "scan-curated")

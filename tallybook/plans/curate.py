@@ -18,7 +18,7 @@ from tallybook.plans.zones import Zones
 from tallybook.schemas import CURATED_TRANSACTIONS, RATE_KEY, RATES, TRANSACTION_KEY
 from tallybook.sources import files
 from tallybook.sources.manifest import files_of_days, files_undated, read_groups, refresh_manifest
-from tallybook.sources.rates import curate_rates, read_landed_days, read_landed_rates
+from tallybook.sources.rates import curate_rates, landed_payloads, read_landed_days, read_landed_rates, rescue_rates
 from tallybook.sources.sinks import overwrite_partitions
 from tallybook.sources.workspace import scratch
 
@@ -126,6 +126,12 @@ def curate_rate_day(spark: SparkSession, zones: Zones, day: dt.date) -> None:
     upsert_table(spark, zones.rates, arrived, RATE_KEY, RATES, on_duplicate="latest", latest_by=["valor"])
 
 
+def rescue_landed_rates(spark: SparkSession, zones: Zones, from_date: str | dt.date, to_date: str | dt.date) -> None:
+    """Look through landed rate files of some days, whoever wrote them, and keep faulty payloads and records apart."""
+    payloads = landed_payloads(spark, zones.raw_rates, as_date(from_date), as_date(to_date))
+    rescue_rates(payloads, zones.rescued_rates)
+
+
 def curate_rate_range(spark: SparkSession, zones: Zones, first: dt.date, last: dt.date) -> None:
     """Upsert the landed rates of some days in one go; the landing date is the key."""
     if first == last:

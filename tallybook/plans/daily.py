@@ -19,7 +19,7 @@ log = logging.getLogger(__name__)
 def land_rate_day(
     spark: SparkSession, zones: Zones, business_date: str | dt.date, payload: str | None
 ) -> None:
-    """Land the answer of the rate service for one day; an empty one writes nothing."""
+    """Land the answer of the rate service for one day; an empty one writes nothing, what is faulty is kept apart."""
     if not payload:
         log.warning("no rate payload for %s", business_date)
         return
@@ -28,6 +28,7 @@ def land_rate_day(
             [(as_date(business_date), payload)], "date date, payload string"
         ),
         zones.raw_rates,
+        rescue=zones.rescued_rates,
     )
 
 

@@ -17,6 +17,11 @@ class Zones:
     def raw_rates(self) -> str:
         return f"{self.base}/raw/cdi"
 
+    @property
+    def rescued_rates(self) -> str:
+        """Answers of the rate service that could not be used, with the reason."""
+        return f"{self.base}/raw/cdi_rescued"
+
     @property
     def transactions(self) -> str:
         return f"{self.base}/curated/transactions"

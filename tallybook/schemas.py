@@ -22,6 +22,11 @@ RATE_RECORDS = T.StructType([
     T.StructField("data", T.StringType()),
     T.StructField("valor", T.DoubleType()),
 ])
+RATE_FAULTS = T.StructType([
+    T.StructField("date", T.DateType()),
+    T.StructField("payload", T.StringType()),
+    T.StructField("reason", T.StringType()),
+])
 RATES = T.StructType([
     T.StructField("date", T.DateType()),
     T.StructField("valor", T.DoubleType()),

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.functions.interest import as_date, rate_fraction
-from tallybook.schemas import PAYLOAD_DATE_FORMAT, RATE_PAYLOAD, RATE_RECORDS, RATES
-from tallybook.sources.tables import empty_table, is_missing_path
+from tallybook.schemas import PAYLOAD_DATE_FORMAT, RATE_FAULTS, RATE_PAYLOAD, RATE_RECORDS, RATES
+from tallybook.sources import files
+from tallybook.sources.tables import empty_table, is_missing_path, read_table_or_empty
 
 log = logging.getLogger(__name__)
 
@@ -42,11 +43,60 @@ def normalize_rates(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     )
 
 
-def land_rates(payloads: DataFrame, root: str) -> None:
+def rate_faults(payloads: DataFrame) -> DataFrame:
+    """``date, payload, reason`` of what cannot be used among ``(date, payload)`` rows.
+
+    A payload that is no JSON array of objects is a fault as a whole; within one that is, each record without a date, with a date of
+    another day, without a number, or that is no object is one. Empty payloads and empty arrays are no faults: there is no rate on that day.
+    """
+    text = F.trim("payload")
+    given = payloads.where((text != "") & text.isNotNull())
+    items = F.from_json("payload", "array<string>")
+    broken = F.json_array_length("payload").isNull()
+    whole = given.where(broken).select("date", "payload", F.lit("no array").alias("reason"))
+    records = given.where(~broken).select("date", F.explode(items).alias("payload"))
+    record = F.from_json("payload", RATE_PAYLOAD)
+    day = payload_date(record["data"])
+    reason = (
+        F.when(F.col("payload").isNull() | ~F.trim("payload").startswith("{") | record.isNull(), "no object")
+        .when(day.isNull(), "no date")
+        .when(day != F.col("date"), "other day")
+        .when(record["valor"].try_cast("double").isNull(), "no number")
+    )
+    single = records.select("date", "payload", reason.alias("reason")).where(F.col("reason").isNotNull())
+    return whole.unionByName(single)
+
+
+def rescue_rates(payloads: DataFrame, root: str) -> None:
+    """Keep the faults of the given days apart under ``date=YYYY-MM-DD/``, in place of those they had."""
+    spark = payloads.sparkSession
+    faults = rate_faults(payloads)
+    kept = {row["date"] for row in faults.select("date").distinct().collect()}
+    for row in payloads.select("date").distinct().collect():
+        if row["date"] not in kept:
+            files.remove(spark, f"{root}/date={row['date']}")
+    if kept:
+        log.warning("faulty rate payloads of %s days are kept in %s", len(kept), root)
+        (
+            faults.repartition("date").write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("date")
+            .parquet(root)
+        )
+
+
+def read_rescued_rates(spark: SparkSession, root: str) -> DataFrame:
+    return read_table_or_empty(spark, root, RATE_FAULTS)
+
+
+def land_rates(payloads: DataFrame, root: str, rescue: str | None = None) -> None:
     """Land ``(date, payload)`` rows under ``data=YYYY-MM-DD/``, replacing the days given.
 
-    Days with an empty payload write nothing and keep what was landed before.
+    Days with an empty payload write nothing and keep what was landed before, and so do payloads that are no JSON
+    array. Given a folder ``rescue``, faulty payloads and records are kept there instead of being passed over.
     """
+    if rescue is not None:
+        rescue_rates(payloads, rescue)
     usable = F.json_array_length("payload") > 0
     (
         payloads.where(usable)
@@ -92,6 +142,18 @@ def read_landed_days(
     return landed.select(day.alias("date"), F.col("valor").try_cast("double").alias("valor"))
 
 
+def landed_payloads(spark: SparkSession, root: str, first: dt.date, last: dt.date) -> DataFrame:
+    """``(date, payload)`` as landed for some days, one row a line of a file, so that faults of any writer are seen."""
+    day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), r"/data=(\d{4}-\d{2}-\d{2})/", 1))
+    names = ",".join((first + dt.timedelta(days=n)).isoformat() for n in range((last - first).days + 1))
+    try:
+        return spark.read.text(f"{root}/data={{{names}}}").select(day.alias("date"), F.col("value").alias("payload"))
+    except AnalysisException as error:
+        if not is_missing_path(error):
+            raise
+        return spark.createDataFrame([], "date date, payload string")
+
+
 def curate_rates(landed: DataFrame, business_date: str | dt.date) -> DataFrame:
     """Landed records of one day to curated rows; the run date is the key."""
     return landed.select(
