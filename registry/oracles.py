@@ -313,6 +313,27 @@ ORACLES: dict[str, str] = {
     "merge_evolve": f"WITH {TX}, {MERGED_TX} SELECT {TX_COLUMNS}, channel, note FROM merged",
     "merge_orders_keep_all": _merged_orders(latest=False),
     "merge_orders_latest": _merged_orders(latest=True),
+    "merge_orders_distinct": f"""WITH {TX_ORDERS},
+        target AS (SELECT user_id, account_id, event_time, amount, date FROM tx WHERE order_id % 3 <> 0),
+        source AS (
+          SELECT DISTINCT user_id, account_id, event_time, CAST(amount + 1 AS DECIMAL(18,2)) AS amount, date
+          FROM tx WHERE order_id % 3 <> 1),
+        merged AS (SELECT * FROM target UNION ALL (SELECT * FROM source EXCEPT SELECT * FROM target))
+        SELECT {TX_COLUMNS} FROM merged""",
+    "merge_orders_replace": f"""WITH {TX_ORDERS},
+        target AS (SELECT user_id, account_id, event_time, amount, date FROM tx WHERE order_id % 3 <> 0),
+        source AS (
+          SELECT user_id, account_id, event_time, CAST(amount + 1 AS DECIMAL(18,2)) AS amount, date
+          FROM tx WHERE order_id % 3 <> 1),
+        merged AS (
+          SELECT t.* FROM target t ANTI JOIN source s ON t.account_id = s.account_id AND t.event_time = s.event_time
+          UNION ALL SELECT * FROM source)
+        SELECT {TX_COLUMNS} FROM merged""",
+    "stream_in_batches": f"""WITH {TX}, {RATES},
+        kept AS (SELECT DISTINCT user_id, account_id, event_time, amount, date FROM tx)
+        SELECT k.date, user_id, account_id, strftime(event_time, {STAMP}) AS event_time, CAST(amount AS DOUBLE) AS amount,
+               CASE WHEN day(k.date) <= 9 THEN r.valor ELSE r.valor / CAST(2 AS DOUBLE) END AS valor
+        FROM kept k LEFT JOIN rates r ON k.date = r.date""",
     "merge_idempotent": f"WITH {TX}, {MERGED_TX} SELECT {TX_COLUMNS} FROM merged",
     "overwrite_partitions": f"""WITH {TX} SELECT user_id, account_id,
         strftime(event_time, {STAMP}) AS event_time,

@@ -47,6 +47,7 @@ from tallybook.sources.manifest import read_transactions, refresh_manifest
 from tallybook.sources.tables import empty_table, read_table, table_exists
 from tallybook.sources.workspace import fresh_dir
 from tallybook.streaming.arrivals import curate_arrivals
+from tallybook.streaming.rates import curate_rate_arrivals
 
 # Run dates of the sample month: a Wednesday, its eve, a Saturday, and a redelivered span.
 DAY = dt.date(2024, 1, 17)
@@ -652,6 +653,38 @@ def curate_arriving_files(spark, sf_dir):
     return _comparable(read_table(spark, zones.transactions, CURATED_TRANSACTIONS))
 
 
+@query("stream_in_batches")
+def stream_in_batches(spark, sf_dir):
+    """Movements and rates as streams in small batches, rows and rates coming more than once, in two calls."""
+    zones = _zones(spark, "stream")
+    tx, rates = sample.transactions(spark, sf_dir), sample.rates(spark, sf_dir)
+    day = F.dayofmonth("event_time")
+    for part in (day < 18, day >= 12):
+        tx.where(part).coalesce(1).write.mode("append").parquet(zones.raw_transactions)
+    lower = rates.withColumn("valor", F.col("valor") / 2)
+    for part in (lower, rates.where(F.dayofmonth("date") <= 9)):
+        _append_rates(part.coalesce(2), zones.raw_rates)
+        curate_arrivals(spark, zones, f"{zones.base}/seen", 1, on_duplicate="distinct").awaitTermination()
+        curate_rate_arrivals(spark, zones, f"{zones.base}/rates_seen", 8).awaitTermination()
+    return _curated_with_rate(spark, zones)
+
+
+def _append_rates(rates: DataFrame, root: str) -> None:
+    """Land rates beside those already landed for their days, as a service that answers twice does."""
+    payloads = sample.rate_payloads(rates).select(F.col("date").alias("data"), F.col("payload").alias("value"))
+    payloads.write.mode("append").partitionBy("data").text(root)
+
+
+@query("merge_orders_distinct")
+def merge_orders_distinct(spark, sf_dir):
+    return _merged_orders(spark, sf_dir, on_duplicate="distinct")
+
+
+@query("merge_orders_replace")
+def merge_orders_replace(spark, sf_dir):
+    return _merged_orders(spark, sf_dir, on_duplicate="replace")
+
+
 @query("payouts_of_days")
 def payouts_of_days(spark, sf_dir):
     """Range job up to the eve, then two daily runs on top of what it wrote."""

@@ -11,11 +11,11 @@ from pyspark.sql.types import StructType
 
 from tallybook.functions.keys import all_present
 from tallybook.operators.quality import dedup_latest, latest_per_key
-from tallybook.sources.sinks import overwrite_partitions, rewrite_table, settle_table, write_table
+from tallybook.sources.sinks import append_partitions, overwrite_partitions, rewrite_table, settle_table, write_table
 from tallybook.sources.tables import find_partitions, find_stored
 from tallybook.sources.workspace import scratch
 
-DUPLICATE_POLICIES = ("error", "keep_all", "latest", "replace")
+DUPLICATE_POLICIES = ("error", "keep_all", "latest", "replace", "distinct")
 # Rows with a NULL key match nothing. As join keys they would all hash to one task, so they are spread.
 _SPREAD, _SPREADS = "__spread", 1 << 12
 
@@ -114,6 +114,8 @@ def merge_upsert(
     the target is scanned and shuffled once; without it the plan scans the target's keys again.
     """
     check_policy(on_duplicate, latest_by)
+    if on_duplicate == "distinct":
+        return merge_distinct(target, source)
     keys = list(keys)
     kept = matched_rows(target, source, keys, on_duplicate=on_duplicate, latest_by=latest_by)
     kept = stage(kept) if stage else kept
@@ -125,6 +127,29 @@ def merge_upsert(
     return kept.drop("__copies").unionByName(_without(source, matched, keys), allowMissingColumns=True)
 
 
+def new_rows(target: DataFrame, source: DataFrame) -> DataFrame:
+    """Each source row that no target row equals in the columns both have, once.
+
+    Rows are compared by all of these columns, so only equal rows meet in a task and no key can be hot; equal
+    ones are put together before the shuffle. NULL equals NULL here. Of source rows that differ only in
+    columns the target lacks the greatest is taken.
+    """
+    shared = [c for c in source.columns if c in target.columns]
+    own = [c for c in source.columns if c not in shared]
+    if own:
+        once = source.groupBy(*shared).agg(F.max(F.struct(*own)).alias("__own")).select(*shared, "__own.*")
+    else:
+        once = source.distinct()
+    known = target.select(*[F.col(c).alias(f"__{c}") for c in shared]).distinct()
+    same = [once[c].eqNullSafe(known[f"__{c}"]) for c in shared]
+    return once.join(known, same, "left_anti").select(*source.columns)
+
+
+def merge_distinct(target: DataFrame, source: DataFrame) -> DataFrame:
+    """All target rows, and the new ones of the source."""
+    return target.unionByName(new_rows(target, source), allowMissingColumns=True)
+
+
 def _replaced(untouched: DataFrame, matched: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     old = [c for c in matched.columns if c not in source.columns and c != "__copies"]
     if old:
@@ -183,7 +208,11 @@ def upsert_partitioned(
     target = find_partitions(spark, path, schema, touched, partition)
     if target is None or target.isEmpty():
         first = dedup_latest(source, keys, latest_by) if on_duplicate == "latest" else source
-        overwrite_partitions(first, path, partition)
+        overwrite_partitions(first.distinct() if on_duplicate == "distinct" else first, path, partition)
+        return
+    if on_duplicate == "distinct":
+        # Stored rows stay as they are. A run that was cut off is repeated: what it wrote is known by then.
+        append_partitions(new_rows(target, source), path, partition)
         return
     with scratch(spark) as copies:
         if materialize:
@@ -211,7 +240,7 @@ def upsert_table(
     target = find_stored(spark, path, schema)
     if target is None:
         first = dedup_latest(source, keys, latest_by) if on_duplicate == "latest" else source
-        write_table(first, path)
+        write_table(first.distinct() if on_duplicate == "distinct" else first, path)
         return
     merged = merge_upsert(target, source, keys, on_duplicate=on_duplicate, latest_by=latest_by)
     rewrite_table(merged, path)

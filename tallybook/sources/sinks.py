@@ -35,6 +35,11 @@ def overwrite_partitions(rows: DataFrame, path: str, partition: str = "date") ->
     )
 
 
+def append_partitions(rows: DataFrame, path: str, partition: str = "date") -> None:
+    """Add rows to partitions; what they hold stays."""
+    _by_partition(rows, partition).write.mode("append").partitionBy(partition).parquet(path)
+
+
 def write_table(rows: DataFrame, path: str) -> None:
     """Create (or fully replace) an unpartitioned table."""
     rows.hint("rebalance").write.mode("overwrite").parquet(path)

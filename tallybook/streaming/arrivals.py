@@ -29,8 +29,9 @@ def curate_arrivals(
     that is repeated after a failure upserts the same rows again, which changes nothing unless
     rows repeat a key: those are all kept when first written, and matching them again fails, as
     does a key that several later rows match, unless ``policy`` (that of ``upsert_partitioned``)
-    says which is the latest. The stream hands over the names of new files, and only their footers are read: columns that
-    no schema declares are kept, and files may differ in their types.
+    says which is the latest. With ``on_duplicate="distinct"`` rows of earlier batches are recognised by the curated
+    table itself, however old they are, and the result does not depend on the batches. The stream hands over the names of new
+    files, and only their footers are read: columns that no schema declares are kept, and files may differ in their types.
     """
     reader = spark.readStream.format("binaryFile").schema(_LISTED).option("pathGlobFilter", "*.parquet")
     if max_files is not None:
