@@ -108,3 +108,43 @@ def test_contamination_edge_cases(spark):
     assert got == sorted([("1", ["1", "4"]), ("1", ["1", "4"]), ("2", []), ("3", []), ("4", ["4"]), ("5", []), ("None", ["1", "4"]), ("6", ["None"])])
     assert all(not r.leaks for r in decontaminate.find_contamination(docs, items.where("false")).collect())
     assert decontaminate.find_contamination(docs.where("false"), items).collect() == []
+
+
+@pytest.mark.parametrize("n", [8, 9, 12, 13, 14, 15, 16, 24, 25, 26])
+def test_short_items_with_all_the_edits_they_may_have(n):
+    item = "qwertyuiopasdfghjklzxcvbnm"[:n]
+    index = decontaminate.build_index([(1, item)], 8, 0.08)
+    budget = int(0.08 * n)
+    spread = list(item)
+    for k in range(budget):
+        spread[(k + 1) * n // (budget + 1)] = "9"
+    assert decontaminate.find(f"some words {''.join(spread)} and more", index, 8) == [(1, 11 + n, budget)]
+    assert full_distance(item, "".join(spread)) == budget
+    if budget == 1:
+        for at in range(n):
+            text = f"some words {item[:at]}9{item[at + 1 :]} and more"
+            assert [(i, e) for i, _, e in decontaminate.find(text, index, 8)] == [(1, full_distance(item, text))]
+
+
+def test_long_items_are_found_by_their_passages():
+    draw = random.Random(6)
+    item = " ".join("".join(draw.choice("abcdefghijklmnop") for _ in range(draw.randint(2, 9))) for _ in range(60))
+    index = decontaminate.build_index([(1, item), (2, "something else that is long enough")], 8, 0.08)
+    for start in (0, 7, int(0.15 * len(item))):
+        quote = item[start : start + int(0.85 * len(item))]
+        assert [(i, e) for i, _, e in decontaminate.find(f"before {quote} after", index, 8)] == [(1, 0)]
+        edited = "".join("9" if k % 20 == 3 else c for k, c in enumerate(quote))
+        ((found, _, edits),) = decontaminate.find(f"before {edited} after", index, 8)
+        assert found == 1 and 0 < edits <= int(0.08 * decontaminate.PASSAGE)
+    assert decontaminate.find(f"before {item[:150]} after", index, 8) == []
+
+
+def test_two_blocks_equal_one(spark):
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").where("doc_id < 300")
+    def leaks(**options):
+        return sorted((r.doc_id, sorted(map(tuple, r.leaks))) for r in decontaminate.find_contamination(docs, benchmark, **options).collect())
+
+    one = leaks()
+    assert sum(bool(found) for _, found in one) > 3
+    assert leaks(block_chars=20_000) == one
