@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import base64
+import binascii
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +21,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _VERSION_LINE = re.compile(rb"WARC/1\.[01]\r?\n")
 _MEMBER = b"\x1f\x8b\x08"
 _END = "\r\n\r\n"
+_SHA1 = re.compile(r"[0-9a-f]{40}")
+_LEAST_PIECE, _MOST_PIECE = 1 << 12, 1 << 20
 
 _RECORD_ID = "urn:page:"
 _BYTES = "X-Payload-Bytes"  # revisits carry no payload; an extension header keeps its length
@@ -86,12 +90,16 @@ def parse_record(data: bytes, at: int) -> tuple[dict, int] | str:
     stop = data.find(b"\r\n\r\n", version.end() - 2)
     if stop < 0:
         return "header without end"
-    headers = {}
+    headers, last = {}, None
     for line in data[version.end() : stop].split(b"\r\n"):
+        if line[:1] in (b" ", b"\t") and last is not None:  # a folded line goes on with the value above
+            headers[last] = f"{headers[last]} {line.strip().decode('utf-8', 'replace')}".strip()
+            continue
         name, colon, value = line.partition(b":")
         if line and not colon:
             return "header line without colon"
-        headers[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+        last = name.strip().lower().decode("latin-1")
+        headers[last] = value.strip().decode("utf-8", "replace")
     length = headers.get("content-length", "")
     if not (length.isascii() and length.isdigit()):
         return "no content length"
@@ -104,47 +112,97 @@ def parse_record(data: bytes, at: int) -> tuple[dict, int] | str:
     if headers.get("content-type", "").startswith("application/http"):
         payload = block.partition(b"\r\n\r\n")[2]
     algorithm, _, digest = headers.get("warc-payload-digest", "").partition(":")
+    digest = _as_hex(digest) if algorithm.lower() == "sha1" else digest
     revisit = headers.get("warc-type") == "revisit"
-    if algorithm == "sha1" and not revisit and hashlib.sha1(payload).hexdigest() != digest.lower():
+    # A digest that is no SHA-1 in either form cannot be checked, and is no reason to lose the record.
+    if algorithm.lower() == "sha1" and _SHA1.fullmatch(digest) and not revisit and hashlib.sha1(payload).hexdigest() != digest:
         return "payload digest differs"
     size = headers.get(_BYTES.lower(), "")
     return {
         "type": headers.get("warc-type"), "record_id": headers.get("warc-record-id"), "uri": headers.get("warc-target-uri"),
-        "refers_to": headers.get("warc-refers-to"), "payload_digest": digest.lower() or None,
+        "refers_to": headers.get("warc-refers-to"), "payload_digest": digest or None,
         "payload_bytes": (int(size) if size.isdigit() else None) if revisit else len(payload), "payload": payload,
     }, end + 4
 
 
-def _member(data: bytes, at: int) -> tuple[bytes, int] | None:
-    """What the gzip member at ``at`` holds, and where it ends; None if it is broken."""
-    unzip = zlib.decompressobj(wbits=31)
-    try:
-        held = unzip.decompress(data[at:]) + unzip.flush()
-    except zlib.error:
-        return None
-    return (held, len(data) - len(unzip.unused_data)) if unzip.eof else None
+def _as_hex(digest: str) -> str:
+    """A SHA-1 as lower-case hex; public crawls write it in base 32."""
+    if len(digest) == 32:
+        try:
+            return base64.b32decode(digest.upper()).hex()
+        except binascii.Error:
+            return digest
+    return digest.lower()
+
+
+def _member(data: memoryview, at: int) -> tuple[bytes, int, bool]:
+    """What the gzip member at ``at`` holds, up to where, and whether it is whole.
+
+    It is inflated piece by piece, each file byte once. Where it is broken or cut off, what came before is kept: the
+    piece with the damage is taken up again from a copy of the state, in halves.
+    """
+    unzip, parts, size = zlib.decompressobj(wbits=31), [], _LEAST_PIECE
+    while at < len(data) and not unzip.eof:
+        before, piece = unzip.copy(), data[at : at + size]
+        try:
+            parts.append(unzip.decompress(piece))
+        except zlib.error:
+            if len(piece) == 1:
+                return b"".join(parts), at, False
+            unzip, size = before, len(piece) // 2
+            continue
+        at += len(piece) - len(unzip.unused_data)
+        size = min(2 * size, _MOST_PIECE) if size >= _LEAST_PIECE else size
+    return b"".join(parts), at, unzip.eof
+
+
+def _trusted(records: list[dict]) -> Iterator[dict]:
+    """Records of a damaged stream up to the first failed check, or the first that lost what all before it had: past the
+    damage, references back into the stream spell earlier bytes again, and garbled headers have no digest to fail."""
+    ids = set()
+    for record in records:
+        checked = bool(_SHA1.fullmatch(record.get("payload_digest") or ""))
+        if record["type"] is None or record["record_id"] in ids or checked != bool(_SHA1.fullmatch(records[0].get("payload_digest") or "")):
+            return
+        ids.add(record["record_id"])
+        yield record
+
+
+class _Ahead:
+    """The next place of a pattern at or after a position; positions only grow, so all searches together pass the data once."""
+
+    def __init__(self, search: Callable[[int], int]):
+        self.search, self.place = search, -1
+
+    def at(self, start: int) -> int | None:
+        if self.place is not None and self.place < start:
+            found = self.search(start)
+            self.place = found if found >= 0 else None
+        return self.place
 
 
 def salvage(data: bytes) -> Iterator[dict]:
     """Every sound record of an archive, plain or in gzip members, and every gap of bytes that is left out.
 
     After a failed check the search goes on from the next byte for a version line or a gzip member
-    that holds a sound record. What lies between is a gap, with the reason. Positions are those
-    in the file; records of one member share its position.
+    that holds a sound record. What lies between is a gap, with the reason. Of a member that is damaged or cut off, the
+    records before the damage are kept, with the reason; what follows the damage is a gap. Positions are those
+    in the file; records of one member share its position. An empty file gives nothing.
     """
     at = gap = 0
     reason = ""
+    lines = _Ahead(lambda start: found.start() if (found := _VERSION_LINE.search(data, start)) else -1)
+    members = _Ahead(lambda start: data.find(_MEMBER, start))
+    view = memoryview(data)
     while at < len(data):
-        found, end, wrong = [], at, ""
+        found, end, wrong, sound = [], at, "", True
         if data.startswith(_MEMBER, at):
-            member = _member(data, at)
-            if member is None:
-                wrong = "broken gzip member"
-            else:
-                held, end = member
-                inner = list(salvage(held)) if not held.startswith(_MEMBER) else []
-                found = [r for r in inner if r["type"] is not None]
-                wrong = "" if found and len(found) == len(inner) else "member without a whole record"
+            held, end, sound = _member(view, at)
+            inner = list(salvage(held)) if not held.startswith(_MEMBER) else []
+            found = [r for r in inner if r["type"] is not None]
+            if not sound:
+                found = list(_trusted(inner))
+            wrong = "" if found and len(found) == len(inner) and sound else "member without a whole record" if sound else "broken gzip member"
         else:
             parsed = parse_record(data, at)
             if isinstance(parsed, str):
@@ -156,17 +214,26 @@ def salvage(data: bytes) -> Iterator[dict]:
                 yield {"start": gap, "end": at, "reason": reason, "type": None}
             for record in found:
                 yield record | {"start": at, "end": end, "reason": wrong or None}
-            at = gap = end
-            reason = ""
-            continue
+            gap, reason = end, ""
+            if sound:
+                at = end
+                continue
         reason = reason or wrong
-        line = _VERSION_LINE.search(data, at + 1)
-        nexts = [p for p in (line.start() if line else -1, data.find(_MEMBER, at + 1)) if p >= 0]
+        # The next member may begin before the damage shows, so its bytes are searched too; but not for records that
+        # stand in them as they are: those came out of it already.
+        nexts = [p for p in (lines.at(max(at + 1, end)), members.at(at + 1)) if p is not None]
         at = min(nexts, default=len(data))
+        if found and gap > at:
+            gap = at
     if gap < len(data):
         yield {"start": gap, "end": len(data), "reason": reason, "type": None}
 
 
+def gaps(records: DataFrame) -> DataFrame:
+    """``file, start, end, reason`` of the bytes that ``read_warc`` left out, to be kept as a quarantine log."""
+    return records.where("type is null").select("file", "start", "end", "reason")
+
+
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """The records under ``path``, and the gaps: rows without a ``type``, from byte ``start`` to ``end``, and why."""
     small_batches(spark, 8)  # a row holds a file
