@@ -34,12 +34,17 @@ _APART_WORDS = frozenset(
     "modal overlay sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs header footer comment comments disqus reply replies "
     "respond share sharing social related recommended newsletter subscribe subscription signup login search widget widgets toolbar pagination "
     "skip".split())
+# Within a main part only these set a part aside, and only as a whole name, alone or with words that say nothing.
+_APART_INSIDE = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo comment comments disqus newsletter subscribe share sharing "
+    "social cookie cookies consent popup modal".split())
+_NEUTRAL = frozenset("reader readers user users box block container wrapper section area button buttons bar list links link inline slot unit top bottom left right".split())
 _APART_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar toolbar".split())
 _MAIN = frozenset("article main".split())
 _MAIN_ROLES = frozenset("main article".split())
 _ROOTS = frozenset("html body".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?P<close>>|\Z)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^=>]+|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*)(?P<close>>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(?P<name>class|id|role|itemprop|hidden|aria-hidden)(?=[\s=/]|\Z)(?:\s*=\s*(?:\"(?P<a>[^\"]*)\"|'(?P<b>[^']*)'|(?P<c>[^\s>]+)))?", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _SPACE = re.compile(r"\s+")
@@ -56,6 +61,16 @@ class _Element:
     apart: bool
     guessed: bool
     main: bool
+    inside: bool
+
+
+def _set_aside(names: str) -> bool:
+    """Whether one of an element's names is one that sets a part of an article aside: ``share-buttons``, not ``ad-hoc``."""
+    for name in names.lower().split():
+        words = {w for w in _SPLIT.split(name) if w}
+        if words & _APART_INSIDE and words <= _APART_INSIDE | _NEUTRAL:
+            return True
+    return False
 
 
 def _element(name: str, rest: str) -> _Element:
@@ -68,19 +83,21 @@ def _element(name: str, rest: str) -> _Element:
     main = main and not comment
     guessed = comment or name in _GUESSED or role in _GUESSED or name not in _ROOTS and not main and bool(words & _APART_WORDS)
     label = name + "".join(sorted(f".{w}" for w in _SPLIT.split(found.get("class", "").lower()) if w and not w.isdigit()))
-    return _Element(name, label, apart, guessed, main)
+    inside = not main and (comment or name in _GUESSED or role in _GUESSED or _set_aside(f"{found.get('class', '')} {found.get('id', '')}"))
+    return _Element(name, label, apart, guessed, main, inside)
 
 
 def _kind(stack: list[_Element]) -> str:
-    """What the innermost mark says. Tags, roles and hidden parts set apart all within; a form or a class word is a guess."""
+    """What the innermost mark says. Tags, roles and hidden parts set apart all within; a form or a class word is a guess,
+    which the host's pages confirm or not, and within a main part counts only as a whole name."""
     if any(e.apart for e in stack):
         return APART
-    marked = [e for e in stack if e.guessed or e.main]
-    if not marked:
-        return OTHER
-    if marked[-1].main:
-        return RETAKEN if any(e.guessed for e in marked) else MAIN
-    return APART if any(e.main for e in marked) else GUESSED
+    last = max((i for i, e in enumerate(stack) if e.main), default=-1)
+    if last < 0:
+        return GUESSED if any(e.guessed for e in stack) else OTHER
+    if any(e.inside for e in stack[last + 1 :]):
+        return APART
+    return RETAKEN if any(e.guessed for e in stack[:last]) else MAIN
 
 
 def _judged(found: list[tuple[int, str, str]]) -> list[tuple[int, str, str]]:
@@ -253,16 +270,16 @@ def host_of(url: str | Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
 
 
-def infer_wrappers(pages: DataFrame, *, salts: int = 32) -> DataFrame:
+def infer_wrappers(pages: DataFrame, *, fan: int = 64) -> DataFrame:
     """``host``, ``wrapper``, ``slots``: a union-free expression for all pages of each host.
 
     ``wrapper`` lists the places of text in page order, one a line, ``?`` for optional and ``+`` for
-    repeated. ``slots`` are the places whose text differs between pages of the host; the text of the others
-    belongs to the template, unless the host has one page only.
+    repeated. ``slots`` are the places whose text differs between pages of the host, and optional ones that
+    a single one of its pages has; the text of the others belongs to the template, unless the host has one page only.
 
     Pages of equal structure, nearly all of them, are counted as one before any shuffle. The
-    distinct ones are aligned one after the other in ``salts`` parts of a host, and then the parts,
-    so a host with a large share of all pages is no task's work alone.
+    distinct ones are aligned in groups of about ``fan``, their wrappers in groups again, and so on, so that
+    a host with a large share of all pages is no task's work alone.
     """
     rows = pages.select(host_of("url").alias("host"), F.coalesce("html", F.lit("")).alias("html"))
 
@@ -281,50 +298,58 @@ def infer_wrappers(pages: DataFrame, *, salts: int = 32) -> DataFrame:
             yield pd.DataFrame(out, columns=["host", "skeleton", "places"])
 
     read = rows.mapInPandas(structure, "host string, skeleton string, places array<struct<path:string,text:string>>")
-    read = read.select("host", "skeleton", F.transform("places", lambda p: F.struct(p["path"].alias("path"), F.xxhash64(p["text"]).alias("text"))).alias("places"))
-    read = materialized(read, "structures")
-
-    salt = F.pmod(F.xxhash64("skeleton"), F.lit(salts)).alias("salt")
-    distinct = read.select("host", "skeleton").distinct().select("host", "skeleton", salt)
+    hashed = F.transform("places", lambda p: F.struct(p["path"].alias("path"), F.xxhash64(p["text"]).alias("text")))
+    read = read.select("host", "skeleton", hashed.alias("places"))
+    read = materialized(read.withColumn("page", F.xxhash64("places")), "structures")
 
     def merge(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([(key[0], _merge(group))], columns=["host", "skeleton"])
-
-    parts = distinct.groupBy("host", "salt").applyInPandas(merge, "host string, skeleton string")
-    wrappers = parts.groupBy("host").applyInPandas(merge, "host string, skeleton string")
+        return pd.DataFrame([(key[0], key[1], _merge(group))], columns=["host", "part", "skeleton"])
+
+    distinct = materialized(read.select("host", "skeleton").distinct(), "skeletons")
+    most = distinct.groupBy("host").count().agg(F.max("count")).first()[0] or 0
+    parts = max(1, -(-most // fan))
+    level = distinct.withColumn("part", F.pmod(F.xxhash64("skeleton"), F.lit(parts)))
+    while True:
+        level = level.groupBy("host", "part").applyInPandas(merge, "host string, part long, skeleton string")
+        if parts == 1:
+            break
+        parts = -(-parts // fan)
+        level = materialized(level, "wrappers").withColumn("part", F.pmod("part", F.lit(parts)))
 
-    seen = read.select("host", F.explode("places").alias("place")).groupBy("host", "place.path").agg(
-        F.min("place.text").alias("least"), F.max("place.text").alias("most"))
-    slots = seen.where("least <> most").groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("slots"))
-    return wrappers.join(slots, "host", "left").select("host", F.col("skeleton").alias("wrapper"), F.coalesce("slots", F.array().cast("array<string>")).alias("slots"))
+    seen = read.select("host", "page", F.explode("places").alias("place")).groupBy("host", "place.path").agg(
+        F.min("place.text").alias("least"), F.max("place.text").alias("most"), F.min("page").alias("first"), F.max("page").alias("last"))
+    several = read.groupBy("host").agg((F.min("page") != F.max("page")).alias("several"))
+    slot = (F.col("least") != F.col("most")) | (F.col("several") & (F.col("first") == F.col("last")))
+    slots = seen.join(several, "host").where(slot).groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("slots"))
+    return level.join(slots, "host", "left").select("host", F.col("skeleton").alias("wrapper"), F.coalesce("slots", F.array().cast("array<string>")).alias("slots"))
 
 
-def content_places(wrapper: str, slots: list[str]) -> set[str]:
-    """The places of a wrapper that hold the article.
+def content_places(wrapper: str, slots: list[str]) -> list[set[str]]:
+    """The places of a wrapper that may hold the article, the likelier first; a page takes the first it has text in.
 
-    Those in main parts if the wrapper has any. Else the slots that are not set apart, or that only a guess sets apart, and
-    if there are none, as on a host with one page, all places that are not set apart, or that only a guess sets apart.
+    Those in main parts; the slots that nothing sets apart; the slots that only a guess sets apart; and for pages with nothing but
+    template, as the only page of a host is, all places that nothing, or only a guess, sets apart.
     """
-    places = {path for path, _, _ in _decode(wrapper)}
-    main = {p for p in places if p.startswith(MAIN + "/")}
-    other = {p for p in places if p.startswith(OTHER + "/")}
-    guessed = {p for p in places if p.startswith(GUESSED + "/")}
-    return main or other & set(slots) or guessed & set(slots) or other or guessed
+    places = [path for path, _, _ in _decode(wrapper)]
+    main, other, guessed = ({p for p in places if p.startswith(kind + "/")} for kind in (MAIN, OTHER, GUESSED))
+    return [main, other & set(slots), guessed & set(slots), other, guessed]
 
 
-def main_text(page: str, content: set[str]) -> str:
-    """The text of the content places, a line for each block. A page without any gives all that is not set apart, or only by a guess."""
+def main_text(page: str, content: list[set[str]]) -> str:
+    """The text of the content places, a line for each block; nothing from places that the host's wrapper does not have."""
     found = pieces(page)
-    kept = [p for p in found if p[1] in content] or [p for p in found if p[1].startswith((MAIN + "/", OTHER + "/"))]
-    kept = kept or [p for p in found if p[1].startswith(GUESSED + "/")]
-    blocks: dict[int, list[str]] = {}
-    for block, _, text in kept:
-        blocks.setdefault(block, []).append(text)
-    lines = (_SPACE.sub(" ", "".join(b)).strip() for b in blocks.values())
-    return "\n".join(line for line in lines if line)
-
-
-def extract_text(pages: DataFrame, *, salts: int = 32) -> DataFrame:
+    for places in content:
+        blocks: dict[int, list[str]] = {}
+        for block, path, text in found:
+            if path in places:
+                blocks.setdefault(block, []).append(text)
+        lines = [_SPACE.sub(" ", "".join(b)).strip() for b in blocks.values()]
+        if any(lines):
+            return "\n".join(line for line in lines if line)
+    return ""
+
+
+def extract_text(pages: DataFrame, *, fan: int = 64) -> DataFrame:
     """``page_id``, ``url``, ``text`` of every row: the article by the wrapper of its host.
 
     White space inside a block becomes one space, blocks are joined by a line feed, character references
@@ -333,7 +358,7 @@ def extract_text(pages: DataFrame, *, salts: int = 32) -> DataFrame:
     table gives an empty result.
     """
     small_batches(pages.sparkSession, 200)
-    wrappers = materialized(infer_wrappers(pages, salts=salts), "wrappers")
+    wrappers = materialized(infer_wrappers(pages, fan=fan), "wrappers")
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host_of("url").alias("host"))
     size = wrappers.agg(F.sum(F.length("wrapper") + F.length(F.array_join("slots", ",")))).first()[0] or 0
     if size <= _MOST_SENT:  # else the pages are dealt out by host, and Spark splits a host of many
@@ -341,7 +366,7 @@ def extract_text(pages: DataFrame, *, salts: int = 32) -> DataFrame:
     joined = rows.join(wrappers, "host", "left").select("page_id", "url", "html", "wrapper", "slots")
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, set[str]] = {}
+        known: dict[str, list[set[str]]] = {}
         for batch in batches:
             texts = []
             for page, wrapper, slots in zip(batch["html"], batch["wrapper"], batch["slots"], strict=True):

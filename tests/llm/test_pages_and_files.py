@@ -54,6 +54,54 @@ def test_articles_within_containers_that_look_set_apart(spark):
     assert found == {1: "First long story.", 2: "Second story.", 3: "Third story.", 4: "Fourth story.", 5: "Fifth story.", 6: "Sixth story.", 7: "Seventh story.", 8: "Eighth story.", 9: "Ninth story."}
 
 
+def extracted(spark, rows, **options):
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in pages.extract_text(docs, **options).collect()}
+
+
+def test_pages_without_marks_take_the_slots_of_their_host(spark):
+    """On one host some pages mark their article and some do not."""
+    around = "<div class=top>Same banner on all</div>{}<div class=end>Same end on all</div>"
+    rows = [
+        (1, "http://a.example/1", page(around.format("<article>One story.</article>"))),
+        (2, "http://a.example/2", page(around.format("<article>Two story.</article>"))),
+        (3, "http://a.example/3", page(around.format("<div class=story>Three story.</div>"))),
+        (4, "http://a.example/4", page(around.format("<div class=story>Four story.</div><blockquote>Quoted once.</blockquote>"))),
+        (4, "http://a.example/4", page(around.format("<div class=story>Four story.</div><blockquote>Quoted once.</blockquote>"))),
+    ]
+    for options in ({}, {"fan": 2}):
+        assert extracted(spark, rows, **options) == {1: "One story.", 2: "Two story.", 3: "Three story.", 4: "Four story.\nQuoted once."}
+
+
+def test_rows_depend_on_the_wrapper(spark, monkeypatch):
+    rows = [(1, "http://a.example/1", page("<article>One story.</article>"))]
+    assert extracted(spark, rows) == {1: "One story."}
+    monkeypatch.setattr(pages, "infer_wrappers", lambda docs, **_: spark.createDataFrame([("a.example", "", [])], "host string, wrapper string, slots array<string>"))
+    assert extracted(spark, rows) == {1: ""}
+
+
+@pytest.mark.parametrize(("body", "text"), [
+    ('<article><p title="5" tall">Hello</p><p>there</p></article>', "Hello\nthere"),
+    ("<article data-x=it's><p>Hello</p><p>don't</p></article>", "Hello\ndon't"),
+    ("<article><a title='a > b' href=\"x>y\">Hello</a> there</article>", "Hello there"),
+    ('<article><p class="ad-hoc">Hello</p><p id="notice-of-motion">there</p><p class="related-work">and</p><p id="related">then</p></article>', "Hello\nthere\nand\nthen"),
+    ("<article>Hello<div class='ad'>no</div><div class=share-buttons>no</div><div id=comments>no</div><form>no</form></article>", "Hello"),
+])
+def test_attributes_and_names_within_an_article(spark, body, text):
+    assert extracted(spark, [(1, "http://a.example/1", page(body))]) == {1: text}
+
+
+def test_wrappers_do_not_depend_on_how_they_are_grouped(spark):
+    draw = random.Random(7)
+    rows = []
+    for i in range(60):
+        parts = "".join(f"<{t}>{t} {i} {k}</{t}>" for k, t in enumerate(draw.choices(["p", "h2", "pre", "blockquote"], k=draw.randint(1, 6))))
+        rows.append((i, "http://a.example/x", page(f"<div class=story>{parts}</div>")))
+    want = extracted(spark, rows)
+    assert extracted(spark, rows, fan=3) == want
+    assert all(f" {i} " in text for i, text in want.items())
+
+
 def test_wrappers_hold_options_and_repeats():
     one, other = pages.folded(["a", "b", "b", "b", "d"]), pages.folded(["a", "b", "c", "d", "x", "y", "x", "y"])
     assert pages._encode(one) == "a\nb+\nd"
