@@ -20,31 +20,72 @@ TEMPLATES: dict[str, list[str]] = {
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
         "Apache License Version 2.0, January 2004",
+        "Apache License, Version 2.0",
         "SPDX-License-Identifier: Apache-2.0",
     ],
     "MIT": [
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
         "The MIT License (MIT)",
+        "MIT License",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
         "SPDX-License-Identifier: MIT",
     ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "GNU General Public License Version 3, 29 June 2007",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "GNU General Public License Version 2, June 1991",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+        "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+    ],
+    "LGPL-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "GNU Lesser General Public License Version 3, 29 June 2007",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
+    ],
+    "LGPL-2.1": [
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "GNU Lesser General Public License Version 2.1, February 1999",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+    ],
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "GNU Affero General Public License Version 3, 19 November 2007",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ],
+    "ISC": [
+        "ISC License",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "SPDX-License-Identifier: ISC",
+    ],
+    "CC0-1.0": ["CC0 1.0 Universal", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "SPDX-License-Identifier: CC0-1.0"],
+    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "BSD-3-Clause": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+        "BSD 3-Clause License",
         "SPDX-License-Identifier: BSD-3-Clause",
     ],
+    "BSD-2-Clause": ["BSD 2-Clause License", "Simplified BSD License", "SPDX-License-Identifier: BSD-2-Clause"],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "Proprietary": ["All rights reserved.", "Copyright. All rights reserved."],
 }
 LICENCE_FILES = r"(?i)^(licen[cs]e|copying|unlicense|notice)(\.[a-z]+)?$"
 
+# Notices are wrapped: lines that follow one another are also read as one, up to so many.
+JOINED = 8
+
 _TERM = re.compile(r"[a-z]+|[0-9]+")
 _LINE = re.compile(r"[\r\n]+")
 
@@ -60,6 +101,7 @@ class Scorer:
 
     def __init__(self, templates: Mapping[str, list[str]], held: Mapping[str, int], n_lines: int, least: float):
         self.least = least
+        self.longest = max((len(text) for texts in templates.values() for text in texts), default=0)
         self.unknown = float(np.log((n_lines + 1) / 1.0) + 1)
         self.idf = {t: float(np.log((n_lines + 1) / (held.get(t, 0) + 1)) + 1) for t in vocabulary(templates)}
         self.vectors: list[tuple[str, dict[str, float]]] = []
@@ -101,16 +143,29 @@ class Scorer:
         return (self.vectors[best][0], cosine) if cosine >= self.least else None
 
     def best(self, text: str | None) -> tuple[str | None, float, str | None]:
-        """The best line of a text, the first among equals. Every line is looked at."""
+        """The best line of a text, or the best of up to JOINED lines read as one; of equals the first, then the shortest.
+
+        Every line is looked at. Lines are joined around those that hold a telling word, as long as together they
+        are not far longer than any template: notices stand in comment headers and licence files wrapped at any width.
+        """
         found: tuple[str | None, float, str | None] = (None, 0.0, None)
         lower = (text or "").lower()
         if not any(word in lower for word in self.words):
             return found
-        for line in _LINE.split(text):
-            if self.anchors.search(low := line.lower()) and not self.words.isdisjoint(_TERM.findall(low)):
-                hit = self.score(line)
-                if hit and hit[1] > found[1]:
-                    found = (*hit, line)
+        lines = [line for line in _LINE.split(text) if line and not line.isspace()]
+        telling = [i for i, line in enumerate(lines) if self.anchors.search(low := line.lower()) and not self.words.isdisjoint(_TERM.findall(low))]
+        sizes = [min(len(line), 8 * self.longest) for line in lines] if telling else []
+        tried: set[tuple[int, int]] = set()
+        for i in telling:
+            for size in range(1, JOINED + 1):
+                for start in range(max(0, i - size + 1), min(i, len(lines) - size) + 1):
+                    if (start, size) in tried or size > 1 and sum(sizes[start : start + size]) > 4 * self.longest:
+                        continue
+                    tried.add((start, size))
+                    joined = " ".join(map(str.strip, lines[start : start + size])) if size > 1 else lines[start]
+                    hit = self.score(joined)
+                    if hit and hit[1] > found[1] + 1e-12:
+                        found = (*hit, joined)
         return found
 
 
@@ -162,9 +217,9 @@ def _parents(path: Column) -> Column:
 def scan_licences(files: DataFrame, *, least: float = 0.8, templates: Mapping[str, list[str]] | None = None) -> DataFrame:
     """All rows of ``files`` (``path``, ``text`` and others): ``path``, ``licence``, ``origin``, ``cosine``, ``line``, ``from_path``.
 
-    Each line of a text is compared with the templates by the cosine of TF-IDF vectors of words and
-    neighbouring words; line frequencies are counted over all texts. A file whose best line reaches
-    ``least`` has that licence (``origin`` is ``header``, or ``file`` for a licence file, by name).
+    Each line of a text, and up to JOINED lines around a telling word read as one, as headers and licence files wrap them, is
+    compared with the templates by the cosine of TF-IDF vectors of words and neighbouring words; line frequencies are
+    counted over all texts. A file whose best line or lines reach ``least`` has that licence (``origin`` is ``header``, or ``file`` for a licence file, by name).
     Otherwise it has that of the nearest directory above, its own included, with a licence file that
     has one (``origin`` ``inherited``, ``from_path`` names the file), or none (all null).
 

@@ -212,6 +212,57 @@ def test_licences_are_found_and_inherited(spark):
     assert licences.scan_licences(files.where("false")).collect() == []
 
 
+BSD = """Copyright (c) 2020, Someone
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are
+met:
+
+1. Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer."""
+GPL2_HEADER = """/*
+ * This program is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU General Public License
+ * as published by the Free Software Foundation; either version 2
+ * of the License, or (at your option) any later version.
+ */
+int main;"""
+
+
+@pytest.mark.parametrize(("text", "licence"), [
+    (BSD, "BSD-3-Clause"), (GPL2_HEADER, "GPL-2.0"), ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989", "GPL-2.0"),
+    ("GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007", "GPL-3.0"), ("GNU LESSER GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007", "LGPL-3.0"),
+    ("GNU Lesser General Public License Version 3", "LGPL-3.0"), ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+    ("MIT License\n\nCopyright (c) 2019", "MIT"), ("                                 Apache License\n                           Version 2.0, January 2004", "Apache-2.0"),
+    ("ISC License\n\nCopyright", "ISC"), ("BSD 2-Clause License\n\n" + BSD, "BSD-2-Clause"), ("CC0 1.0 Universal", "CC0-1.0"), ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"), ("Licensed under CC BY 4.0.", "CC-BY-4.0"),
+    ("# Permission is hereby granted, free of charge, to any\n# person obtaining a copy of this software and associated\n# documentation files (the \"Software\")", "MIT"),
+    ("the license of the general public\nand its version 3 of the words", None), ("we redistribute water\nin many forms", None),
+])
+def test_wrapped_notices_and_their_neighbours(text, licence):
+    held = {t: 3 for t in licences.vocabulary(licences.TEMPLATES)} | {"the": 900, "of": 800, "to": 700, "and": 850, "in": 600}
+    scorer = licences.Scorer(licences.TEMPLATES, held, 20_000, 0.8)
+    assert scorer.best(text)[0] == licence
+
+
+def test_cosine_equals_brute_force():
+    import numpy as np
+
+    held = {t: n for n, t in enumerate(sorted(licences.vocabulary(licences.TEMPLATES)))}
+    scorer = licences.Scorer(licences.TEMPLATES, held, 5000, 0.0)
+    texts = [(name, text) for name in sorted(licences.TEMPLATES) for text in licences.TEMPLATES[name]]
+
+    def vector(text, axis):
+        found = licences.terms(text)
+        return np.array([(1 + np.log(found.count(t))) * (np.log(5001 / (held[t] + 1)) + 1 if t in held else np.log(5001) + 1) if t in found else 0.0 for t in axis])
+
+    for line in ("Licensed under the MIT License and nothing else", "GNU General Public License version 2 or 3", "All rights reserved by the license license"):
+        axis = sorted(set(licences.terms(line)) | set(held))
+        own = vector(line, axis)
+        near = [(own @ v) / np.linalg.norm(own) / np.linalg.norm(v) for v in (vector(t, axis) for _, t in texts)]
+        name, cosine = scorer.score(line)
+        assert cosine == pytest.approx(max(near)) and name == texts[int(np.argmax(near))][0]
+
+
 def test_prefilter_loses_no_line():
     held = {t: 3 for t in licences.vocabulary(licences.TEMPLATES)} | {"the": 900, "of": 800, "to": 700}
     scorer = licences.Scorer(licences.TEMPLATES, held, 1000, 0.8)
