@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybook.operators.chain import snapshot_chain
 from tallybook.operators.totals import carried_movements, totals_by_day
-from tallybook.plans.curate import curate_transactions_day
+from tallybook.plans.curate import curate_transactions_range
 from tallybook.plans.payouts import payouts_day, payouts_range, restate_payouts, restated_rows
 from tallybook.plans.totals import history, mark_touched, read_touched, refresh_totals
 from tallybook.plans.zones import Zones
@@ -39,10 +39,9 @@ def movements(seed, n=120, accounts="abcdef", days=range(1, 20)):
 
 
 def curate(spark, zones, rows):
-    """Deliver rows and curate each of their days."""
-    raw = tx_frame(spark, rows)
-    for day in sorted({r[2][:10] for r in rows}):
-        curate_transactions_day(spark, zones, raw, dt.date.fromisoformat(day), on_duplicate="replace")
+    """Deliver rows and curate all of their days."""
+    days = sorted(dt.date.fromisoformat(r[2][:10]) for r in rows)
+    curate_transactions_range(spark, zones, tx_frame(spark, rows), days[0], days[-1], on_duplicate="replace")
 
 
 def recomputed(spark, zones):
