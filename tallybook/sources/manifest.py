@@ -133,11 +133,13 @@ def refresh_manifest(spark: SparkSession, root: str, path: str) -> DataFrame:
     known = read_table_or_empty(spark, path, MANIFEST)
     listed = listed_files(spark, root)
     same = ["path", "modified", "length"]
-    new = listed.join(known.select(*same), same, "left_anti")
-    gone = known.join(listed, same, "left_anti")
-    if not new.isEmpty() or not gone.isEmpty():
-        kept = known.join(listed, same, "left_semi")
-        rewrite_table(kept.unionByName(_profiled(spark, new)), path)
+    both = listed.withColumn("here", F.lit(1)).join(known.select(*same, F.lit(1).alias("there")), same, "full")
+    new, gone = both.agg(F.count(F.when(F.col("there").isNull(), 1)), F.count(F.when(F.col("here").isNull(), 1))).first()
+    if not new and not gone:
+        return known
+    unseen = listed.join(known.select(*same), same, "left_anti")
+    kept = known.join(listed, same, "left_semi")
+    rewrite_table(kept.unionByName(_profiled(spark, unseen)) if new else kept, path)
     return read_table_or_empty(spark, path, MANIFEST)
 
 
