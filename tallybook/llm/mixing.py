@@ -13,11 +13,21 @@ from tallybook.llm.common import materialized, n_words
 WEIGHTS = (5, 2, 1)
 
 _UNITS = 1 << 10  # sums are taken in whole 1024ths, so that they don't depend on the order
-_STEPS = 1 << 32  # parts of a copy
+_STEPS = 1 << 20  # parts of a copy; their sum stays a long up to 8 * 10^12 documents a source
 _MOST_SOURCES_SENT = 10_000
 _ROUNDS = 200
 
 
+def _placed(sources: DataFrame) -> DataFrame:
+    """Adds ``place``, from 0, by code point, null last. Each range of sources is numbered by itself, after those before it."""
+    order = F.col("source").asc_nulls_last()
+    parts = materialized(sources.repartitionByRange(order).withColumn("part", F.spark_partition_id()), "parts")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    starts = parts.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    own = F.row_number().over(Window.partitionBy("part").orderBy(order)) - 1
+    return parts.withColumn("own", own).join(F.broadcast(starts), "part").withColumn("place", F.col("start") + F.col("own")).drop("part", "start", "own")
+
+
 def source_targets(sources: DataFrame, *, share: float, most: float, weights: Sequence[int]) -> DataFrame:
     """``source``, ``source_size``, ``target`` from ``source``, ``source_size`` (one row each).
 
@@ -26,9 +36,8 @@ def source_targets(sources: DataFrame, *, share: float, most: float, weights: Se
     others, again and again until no target is above. The water level rises to its end in as many
     sums as there are rounds of sharing.
     """
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (place % len(weights) + 1).cast("int"))
-    sources = materialized(sources.select("source", "source_size", weight.alias("weight")), "weights")
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
+    sources = materialized(_placed(sources).select("source", "source_size", weight.alias("weight")), "weights")
     full = F.col("source_size") * most
     total, weighing = sources.agg(F.sum("source_size"), F.sum("weight")).first()
     level, before = (share * total / weighing if weighing else 0.0), None
@@ -47,8 +56,13 @@ def _rate(most: float) -> Column:
     return F.when(F.col("all_full"), F.lit(float(most))).when(F.col("target") <= 0, F.lit(0.0)).otherwise(tilted)
 
 
+def _whole_sum(value: Column) -> Column:
+    """Sum that does not depend on the order, nor overflows a long."""
+    return F.sum(F.round(value * _UNITS).cast("decimal(38,0)")).cast("double") / _UNITS
+
+
 def tilts(sizes: DataFrame, targets: DataFrame, *, most: float) -> DataFrame:
-    """``targets`` with ``mean``, ``all_full`` and the ``tilt`` that meets each target.
+    """``targets`` with ``n_docs``, ``mean``, ``all_full`` and the ``tilt`` that meets each target.
 
     The rates closest to one copy each in relative entropy, with the source's words summing to its
     target and no rate above ``most``, are ``min(most, exp(tilt * size / mean size))``. The dual is
@@ -60,6 +74,7 @@ def tilts(sizes: DataFrame, targets: DataFrame, *, most: float) -> DataFrame:
     key = F.col("s.source").eqNullSafe(F.col("c.source"))
     state = targets.alias("s").join(counts.alias("c"), key).select(
         "s.*",
+        "n_docs",
         F.greatest(F.col("source_size") / F.col("n_docs"), F.lit(1e-9)).alias("mean"),
         (F.col("target") >= F.col("source_size") * most).alias("all_full"),
         F.lit(0.0).alias("tilt"),
@@ -78,14 +93,14 @@ def tilts(sizes: DataFrame, targets: DataFrame, *, most: float) -> DataFrame:
             sizes.alias("h").join(open_, F.col("h.source").eqNullSafe(F.col("s.source")))
             .groupBy(F.col("s.source").alias("key"))
             .agg(
-                F.sum(F.round(words * rate * _UNITS).cast("long")).alias("taken"),
-                F.sum(F.round(words * gain * _UNITS).cast("long")).alias("slope"),
+                _whole_sum(words * rate).alias("taken"),
+                _whole_sum(words * gain).alias("slope"),
             )
         )
-        over = F.col("taken") / _UNITS - F.col("target")
+        over = F.col("taken") - F.col("target")
         low = F.when(over < 0, F.col("tilt")).otherwise(F.col("low"))
         high = F.when(over >= 0, F.col("tilt")).otherwise(F.col("high"))
-        step = F.when(F.col("slope") > 0, -over / (F.col("slope") / _UNITS)).otherwise(-F.signum(over) * 1e9)
+        step = F.when(F.col("slope") > 0, -over / F.col("slope")).otherwise(-F.signum(over) * 1e9)
         reach = F.greatest(F.lit(2.0), F.abs("tilt"))
         newton = F.col("tilt") + F.greatest(-reach, F.least(reach, step))
         outside = (newton <= low) | (newton >= high)
@@ -103,27 +118,36 @@ def tilts(sizes: DataFrame, targets: DataFrame, *, most: float) -> DataFrame:
     return state
 
 
-def _copies(docs: DataFrame, *, buckets: int) -> DataFrame:
+def _copies(docs: DataFrame, *, rows_a_bucket: int) -> DataFrame:
     """Adds ``copies``: the rates rounded so that running sums of parts stay within one copy.
 
     Documents of a source stand in the order of their size class, a bucket of their hash, and their
     size. Where the running sum of the parts passes a whole number, the document gets one copy
-    more; those above and below it are of like size, so words are kept too. The sums of whole
-    buckets are added up first: no task holds a whole source.
+    more; those above and below it are of like size, so words are kept too. A source has a bucket
+    for every ``rows_a_bucket`` of its ``n_docs`` documents, so that one of a class holds about that many
+    at most, however large the source is. Buckets are added up within their class, then classes
+    within their source: no task holds a whole source, or all its buckets.
     """
     whole = F.floor("rate")
     part = F.round((F.col("rate") - whole) * _STEPS).cast("long")
+    buckets = F.ceil(F.col("n_docs") / rows_a_bucket)
     rows = docs.select(
         "*",
         whole.cast("long").alias("whole"),
         part.alias("part"),
         F.floor(F.log2(F.col("size") + 1) * 8).alias("class"),
-        F.pmod(F.xxhash64("doc_id", "size"), F.lit(buckets)).alias("bucket"),
+        F.pmod(F.xxhash64("doc_id", "size"), buckets).alias("bucket"),
     )
     group = ["source", "class", "bucket"]
+    earlier = (Window.unboundedPreceding, -1)
     sums = rows.groupBy(*group).agg(F.sum("part").alias("bucket_part"))
-    before = Window.partitionBy("source").orderBy("class", "bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(*[F.col(c).alias(f"b_{c}") for c in group], F.coalesce(F.sum("bucket_part").over(before), F.lit(0)).alias("offset"))
+    classes = sums.groupBy("source", "class").agg(F.sum("bucket_part").alias("class_part"))
+    in_source = F.sum("class_part").over(Window.partitionBy("source").orderBy("class").rowsBetween(*earlier))
+    classes = classes.select(F.col("source").alias("c_source"), F.col("class").alias("c_class"), F.coalesce(in_source, F.lit(0)).alias("class_offset"))
+    in_class = F.sum("bucket_part").over(Window.partitionBy("source", "class").orderBy("bucket").rowsBetween(*earlier))
+    sums = sums.withColumn("bucket_offset", F.coalesce(in_class, F.lit(0)))
+    sums = sums.join(classes, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("class") == F.col("c_class")))
+    sums = sums.select(*[F.col(c).alias(f"b_{c}") for c in group], (F.col("class_offset") + F.col("bucket_offset")).alias("offset"))
     same = F.col("source").eqNullSafe(F.col("b_source")) & (F.col("class") == F.col("b_class")) & (F.col("bucket") == F.col("b_bucket"))
     inside = Window.partitionBy(*group).orderBy("size", F.xxhash64("doc_id", "size"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     placed = rows.withColumn("until", F.sum("part").over(inside)).join(sums, same)
@@ -165,7 +189,7 @@ def mix_sources(
     share: float = 1.5,
     most: float = 2.0,
     weights: Sequence[int] = WEIGHTS,
-    buckets: int = 64,
+    rows_a_bucket: int = 1 << 16,
 ) -> DataFrame:
     """``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``rate``, ``copies``, ``taken`` per row.
 
@@ -184,11 +208,11 @@ def mix_sources(
     sizes = materialized(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "histogram")
     sources = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     targets = materialized(source_targets(sources, share=share, most=most, weights=weights), "targets")
-    state = tilts(sizes, targets, most=most).select(F.col("source").alias("key"), "source_size", "target", "mean", "all_full", "tilt")
+    state = tilts(sizes, targets, most=most).select(F.col("source").alias("key"), "source_size", "target", "n_docs", "mean", "all_full", "tilt")
     if state.count() <= _MOST_SOURCES_SENT:
         state = F.broadcast(state)
     joined = rows.join(state, F.col("source").eqNullSafe(F.col("key"))).drop("key")
-    copied = _copies(joined.withColumn("rate", _rate(most)), buckets=buckets)
+    copied = _copies(joined.withColumn("rate", _rate(most)), rows_a_bucket=rows_a_bucket)
     copied = materialized(copied.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", "row_no"), "copies")
     settled = _settled(copied, most=most)
     return settled.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))

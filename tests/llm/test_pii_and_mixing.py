@@ -132,6 +132,41 @@ def test_mix_meets_its_targets(spark, corpus):
     assert sorted(map(key, rows)) == sorted(map(key, again))
 
 
+@pytest.mark.parametrize("rows_a_bucket", [3, 1 << 16])
+def test_copies_equal_running_sums(spark, corpus, rows_a_bucket):
+    draw = random.Random(5)
+    rates = {s: draw.random() * 2 for s in {r[2] for r in corpus}}
+    rows = [(n, i, s, len((t or "").split()), rates[s]) for n, (i, t, s) in enumerate(corpus)]
+    docs = spark.createDataFrame(rows, "row_no long, doc_id long, source string, size long, rate double")
+    counts = docs.groupBy(F.col("source").alias("key")).agg(F.count("*").alias("n_docs"))
+    docs = docs.join(counts, F.col("source").eqNullSafe(F.col("key"))).withColumn("hash", F.xxhash64("doc_id", "size"))
+    got = mixing._copies(docs, rows_a_bucket=rows_a_bucket).collect()
+    assert len(got) == len(rows)
+    for source, rate in rates.items():
+        own = [r for r in got if r.source == source]
+        own.sort(key=lambda r: (r["class"], r.bucket, r.size, r.hash, r.doc_id is not None, r.doc_id or 0, r.until))
+        assert len({r.bucket for r in own}) <= -(-len(own) // rows_a_bucket)
+        part = round((rate - int(rate)) * 2**20)
+        for n, r in enumerate(own):
+            extra = [(m * part + 2**19) // 2**20 for m in (n, n + 1)]
+            assert r.copies == int(rate) + extra[1] - extra[0]
+
+
+def test_sums_of_many_documents_do_not_overflow(spark):
+    """A histogram that stands for a source of 10^13 documents, and one of 10^18 words."""
+    sizes = spark.createDataFrame([("a", 1000, 10**13), ("b", 10**9, 10**9)], "source string, size long, n long")
+    sources = sizes.selectExpr("source", "size * n AS source_size")
+    rows = mixing.tilts(sizes, mixing.source_targets(sources, share=0.5, most=2.0, weights=(1, 1)), most=2.0).collect()
+    assert all(r.done for r in rows) and {r.n_docs for r in rows} == {10**13, 10**9}
+
+
+def test_places_of_sources(spark):
+    names = ["b", "a", None, "Z", "é", "\U0001F600", "\uffff", ""] + [f"s{i}" for i in range(300)]
+    rows = mixing._placed(spark.createDataFrame([(n, 1) for n in names], "source string, source_size long").repartition(9)).collect()
+    assert [r.source for r in sorted(rows, key=lambda r: r.place)] == sorted(names, key=lambda s: (s is None, (s or "").encode()))
+    assert sorted(r.place for r in rows) == list(range(len(names)))
+
+
 def test_tilt_solves_the_dual(spark, corpus):
     docs = spark.createDataFrame(corpus, "doc_id long, text string, source string")
     sums = {}
