@@ -135,13 +135,15 @@ def _holders(found: DataFrame) -> DataFrame:
     return each.join(entities, "entity").select("key", "rows", "group", "with_entity").distinct()
 
 
-def _revealing(words: DataFrame, found: DataFrame, texts: DataFrame, *, generalise: float, remove: float, bits: float) -> DataFrame:
+def _revealing(words: DataFrame, found: DataFrame, texts: DataFrame, *, generalise: float, remove: float, disclosure: float, bits: float) -> DataFrame:
     """``key``, ``term``, ``action``: the terms of a document that say too much about one of its entities.
 
-    The share of the documents with the term that hold the entity estimates how surely the term
-    leads to the entity; its logarithm over the entity's own share of the corpus is the pointwise
-    mutual information in bits. It is smoothed by n / (n + 1) for n different texts that have both:
-    copies of one text are one piece of evidence.
+    Of the documents with the term, a share holds the entity. Its logarithm over the entity's own share of
+    the corpus, which terms of any frequency reach by chance, is the pointwise mutual information in
+    bits. The term discloses that part of the entity's whole information, so the size of the corpus
+    cancels out. The part is smoothed by n / (n + 1) for n mentions in different texts: a word
+    mentioned once gives half at most, however rare it is; copies of one text are one piece of evidence.
+    By chance as many different texts with the term hold the entity with a probability of less than 2^-``bits``.
     """
     terms = F.explode(F.array_distinct(F.transform(F.split("text", _NOT_TERM), F.lower))).alias("term")
     frequency = texts.select(terms).groupBy("term").agg(F.count("*").alias("with_term"))
@@ -149,16 +151,18 @@ def _revealing(words: DataFrame, found: DataFrame, texts: DataFrame, *, generali
     # A term in many more documents than an entity cannot reach the share.
     most = F.broadcast(holders.agg(F.max("with_entity").alias("most")))  # one row
     frequency = frequency.crossJoin(most).where(F.col("with_term") * generalise <= F.col("most")).drop("most")
-    rare = words.select("key", "term").distinct().join(frequency, "term")
+    rare = words.groupBy("key", "term").agg(F.count("*").alias("mentions")).join(frequency, "term")
     pairs = materialized(rare.join(holders, "key").where(F.col("with_term") * generalise <= F.col("with_entity")), "pairs")
-    told = pairs.groupBy("group", "term", F.col("key.hash").alias("hash")).agg(F.sum("rows").alias("rows"), F.first("with_term").alias("with_term"), F.first("with_entity").alias("with_entity"))
+    frequencies = [F.first(c).alias(c) for c in ("with_term", "with_entity")]
+    told = pairs.groupBy("group", "term", F.col("key.hash").alias("hash")).agg(F.sum("rows").alias("rows"), F.first("mentions").alias("mentions"), *frequencies)
     told = told.groupBy("group", "term").agg(
-        F.sum("rows").alias("together"), F.count("*").alias("n"), F.first("with_term").alias("with_term"), F.first("with_entity").alias("with_entity"))
+        F.sum("rows").alias("together"), F.sum("mentions").alias("n"), F.count("*").alias("texts"), *frequencies)
     n_docs = texts.agg(F.count("*").alias("n_docs"))
     told = told.crossJoin(F.broadcast(n_docs))  # one row
     share = F.col("together") / F.col("with_term")
-    information = F.log2(share * F.col("n_docs") / F.col("with_entity")) * F.col("n") / (F.col("n") + 1)
-    told = told.where((share >= generalise) & (information >= bits))
+    whole = F.log2(F.col("n_docs") / F.col("with_entity"))
+    part = F.try_divide(whole + F.log2(share), whole) * F.col("n") / (F.col("n") + 1)
+    told = told.where((share >= generalise) & (part >= disclosure) & (whole * F.col("texts") >= bits))
     told = told.select("group", "term", F.when(share >= remove, "remove").otherwise("generalise").alias("action"))
     return pairs.join(told, ["group", "term"]).groupBy("key", "term").agg(F.max("action").alias("action"))
 
@@ -168,6 +172,7 @@ def find_personal_data(
     *,
     generalise: float = 0.5,
     remove: float = 0.8,
+    disclosure: float = 0.6,
     bits: float = 4.0,
 ) -> DataFrame:
     """All columns of ``docs``, and ``pii_spans``: ``start``, ``rank``, ``end``, ``kind``, ``action``, sorted.
@@ -176,7 +181,10 @@ def find_personal_data(
     check is dropped. Terms anywhere in a document with base spans are added (kind ``term``), at
     each of their occurrences in it, where the corpus shows that they disclose an entity of the
     document: of the documents with the term a share of ``generalise`` (``remove``) or more hold
-    the entity, and that tells at least ``bits`` bits. Positions are code points, the end exclusive.
+    the entity, that gives away at least the part ``disclosure`` of its information, and chance
+    would do so less than once in 2^``bits`` times. A word that is mentioned once beside the entity, and
+    nowhere else, tells nothing: it stays, at any size of the corpus. Positions are code points, the
+    end exclusive.
 
     Null and empty texts have no spans; very long texts and digit runs are read whole. Repeated
     rows, with equal or null ``doc_id`` too, are rows of their own with spans of their own, though
@@ -189,7 +197,7 @@ def find_personal_data(
     found = rows.select("key", base_spans(F.col("text")).alias("base"), "text").where(F.size("base") > 0)
     found = materialized(found.groupBy("key").agg(F.first("base").alias("base"), F.first("text").alias("text"), F.count("*").alias("rows")), "base")
     words = materialized(_words(found), "words")
-    telling = _revealing(words, found, rows, generalise=generalise, remove=remove, bits=bits)
+    telling = _revealing(words, found, rows, generalise=generalise, remove=remove, disclosure=disclosure, bits=bits)
     term_spans = words.join(telling, ["key", "term"])
     rank, kind = F.lit(len(KINDS)).alias("rank"), F.lit(TERM).alias("kind")
     terms = term_spans.groupBy("key").agg(F.collect_list(F.struct("start", rank, "end", kind, "action")).alias("terms"))

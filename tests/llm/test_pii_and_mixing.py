@@ -1,5 +1,6 @@
 """Personal data against plain regular expressions; mixing against its own constraints."""
 
+import math
 import random
 import re
 
@@ -79,11 +80,75 @@ def test_terms_of_real_documents_seen_with_one_entity(spark):
 
 def test_terms_are_marked_all_over_the_documents_of_the_entity(spark):
     far = "plain words " * 40
-    rows = [(i, f"plain words number {i}") for i in range(400)] + [(1000, f"Quetzal {far} jo@corp.example {far} QUETZAL {far} quetzal"), (1001, "İzmirli jo2@corp.example")]
+    rows = [(i, f"plain words number {i}") for i in range(400)] + [(1000, f"Quetzal {far} jo@corp.example {far} QUETZAL {far} quetzal"), (1001, "İzmirli jo2@corp.example İzmirli")]
     found = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"))
     clean = {r.doc_id: r.clean for r in found.select("doc_id", pii.sanitised(F.col("text"), F.col("pii_spans")).alias("clean")).collect()}
     assert clean[1000] == f"[TERM] {far} [EMAIL] {far} [TERM] {far} [TERM]"
-    assert clean[1001] == "[TERM] [EMAIL]" and clean[7] == rows[7][1]
+    assert clean[1001] == "[TERM] [EMAIL] [TERM]" and clean[7] == rows[7][1]
+
+
+@pytest.mark.parametrize("size", [200, 10_000])
+def test_rare_words_stay_and_names_go_at_any_size(spark, size):
+    """Each document has words of its own; a name is told by being seen with its entity again and again."""
+    rows = [(i, f"word{i} of item{i} by thing{i % 17} noted on") for i in range(size)]
+    rows += [(20_000 + i, f"rare{i} noted odd{i} by Quillon Tarbeck quillon@corp.example on thing{i}") for i in range(3)]
+    rows += [(30_000, "lone1 lone2 lone3 +1 (555) 010-9999 lone4")]
+    rows += [(40_000, "Dorvane wrote; ask Dorvane at 10.1.2.3 of single")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii.find_personal_data(docs)
+    clean = {r.doc_id: r.clean for r in found.select("doc_id", pii.sanitised(F.col("text"), F.col("pii_spans")).alias("clean")).collect()}
+    assert [clean[20_000 + i] for i in range(3)] == [f"rare{i} noted odd{i} by [TERM] [TERM] [EMAIL] on thing{i}" for i in range(3)]
+    assert clean[30_000] == "lone1 lone2 lone3 [PHONE] lone4"
+    assert clean[40_000] == "[TERM] wrote; ask [TERM] at [IP] of single"
+    assert all(clean[i] == text for i, text in rows[:size])
+
+
+def slow_terms(rows, generalise=0.5, remove=0.8, disclosure=0.6, bits=4.0):
+    """Term spans by the definition, every term against every entity."""
+    texts = [t or "" for _, t in rows]
+    entities, terms = {}, {}
+    mentions = {}
+    for n, text in enumerate(texts):
+        spans = [(k, int(s), int(e)) for k, s, e in (p.split(":") for p in slow_spans(text).split(",") if p)]
+        for kind, start, end in spans:
+            value = re.sub("[^0-9]", "", text[start:end]) if kind in ("card", "phone") else text[start:end].lower()
+            entities.setdefault((kind, value), set()).add(n)
+        for m in re.finditer(r"[^\W_]+", text):
+            terms.setdefault(m[0].lower(), set()).add(n)
+            if re.search(r"[^\W\d_]", m[0]) and all(e <= m.start() or s >= m.end() for _, s, e in spans):
+                mentions.setdefault((n, m[0].lower()), []).append((m.start(), m.end()))
+    out = {}
+    for holders in entities.values():
+        whole = math.log2(len(texts) / len(holders))
+        for term in {t for n, t in mentions if n in holders}:
+            # Documents where the term stands within a base span only are no evidence, but have the term.
+            both = [n for n in holders if (n, term) in mentions]
+            distinct = {texts[n]: len(mentions[n, term]) for n in both}
+            share, n = len(both) / len(terms[term]), sum(distinct.values())
+            if whole <= 0 or share < generalise or (whole + math.log2(share)) / whole * n / (n + 1) < disclosure or whole * len(distinct) < bits:
+                continue
+            for doc in both:
+                out.setdefault(doc, set()).update((s, e) for s, e in mentions[doc, term])
+    return [sorted(out.get(n, ())) for n in range(len(texts))]
+
+
+def test_terms_equal_the_definition(spark):
+    draw = random.Random(11)
+    names, people = [f"name{chr(97 + i)}" for i in range(12)], [f"p{i}@corp.example" for i in range(6)] + ["10.0.0.7", "+1 555 010 9999"]
+    rows = []
+    for i in range(400):
+        words = [draw.choice(names) if draw.random() < 0.03 else f"w{draw.randint(0, 900)}" for _ in range(draw.randint(0, 12))]
+        if draw.random() < 0.12:
+            k = draw.randrange(len(people))
+            words += [people[k], names[k]] + ([names[k]] if draw.random() < 0.5 else [])
+        rows.append((i, " ".join(words)))
+    rows += [(500 + i, rows[i][1]) for i in range(0, 400, 9)] + [(None, None), (None, None)]
+    numbered = [(n, *r) for n, r in enumerate(rows)]
+    docs = spark.createDataFrame(numbered, "n long, doc_id long, text string")
+    got = {r.n: [(s.start, s.end) for s in r.pii_spans if s.kind == pii.TERM] for r in pii.find_personal_data(docs).collect()}
+    want = slow_terms(rows)
+    assert sum(map(len, want)) > 20
+    assert [got[n] for n in range(len(rows))] == want
 
 
 def test_overlapping_spans_become_one(spark):
