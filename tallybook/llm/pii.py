@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import materialized
+from tallybook.llm.common import materialized, width
 
 # Kinds in their order, and what each looks like. Fixed values.
 #   email [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+
@@ -24,6 +24,8 @@ _IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _CARD = r"[0-9](?:[\x20-]?[0-9])++"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _BYTE = r"^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"
+# Whatever matches one of them has such a place.
+_MAYBE = r"[A-Za-z0-9._%+-]@[A-Za-z0-9-]|[0-9]\.[0-9]++\.[0-9]++\.[0-9]|[0-9](?:[\x20-]?[0-9]){11}|\+[0-9]"
 
 # A term is a run of letters and digits with a letter in it.
 _TERM = r"[\p{L}\p{N}]+"
@@ -194,9 +196,10 @@ def find_personal_data(
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     # The row is known by id and text: rows alike in both have the same spans.
     rows = rows.select(F.struct("doc_id", F.xxhash64("text").alias("hash"), F.length("text").alias("length")).alias("key"), "text")
-    found = rows.select("key", base_spans(F.col("text")).alias("base"), "text").where(F.size("base") > 0)
+    found = rows.where(F.col("text").rlike(_MAYBE)).select("key", base_spans(F.col("text")).alias("base"), "text").where(F.size("base") > 0)
     found = materialized(found.groupBy("key").agg(F.first("base").alias("base"), F.first("text").alias("text"), F.count("*").alias("rows")), "base")
-    words = materialized(_words(found), "words")
+    # A text gives many terms, so texts are dealt out first: the staged files are small.
+    words = materialized(_words(found.repartition(width(docs.sparkSession), "key")), "words")
     telling = _revealing(words, found, rows, generalise=generalise, remove=remove, disclosure=disclosure, bits=bits)
     term_spans = words.join(telling, ["key", "term"])
     rank, kind = F.lit(len(KINDS)).alias("rank"), F.lit(TERM).alias("kind")

@@ -47,6 +47,15 @@ def test_base_spans_equal_regular_expressions(spark):
         assert row.spans == slow_spans(row.text), row.doc_id
 
 
+def test_texts_are_passed_over_only_without_a_base_span(spark):
+    draw = random.Random(8)
+    pieces = ["a@b.c", "@", ".", "1.2.3.4", "4111 1111 1111 1111", "378282246310005", "-", " ", "+1 (555) 010-9999", "+", "7", "é", "00", "x"]
+    rows = [(i, "".join(draw.choice(pieces) for _ in range(draw.randint(0, 6)))) for i in range(600)]
+    held = {r.doc_id for r in spark.createDataFrame(rows, "doc_id long, text string").where(F.col("text").rlike(pii._MAYBE)).collect()}
+    want = {i for i, text in rows if slow_spans(text)}
+    assert want <= held and len(want) > 100
+
+
 def test_terms_that_disclose_an_entity(spark):
     noise = [(i, f"plain report number {i} by the corpus for all seen on") for i in range(200)]
     told = [(1000 + i, f"report {i} by Zanzibar Falcon jo@corp.example for the {w}") for i, w in enumerate(["first", "second", "third", "fourth"])]
