@@ -13,7 +13,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.functions.interest import gap_hours
+from tallybook.functions.interest import exact_sum, gap_hours
 from tallybook.operators import activity as act
 from tallybook.operators import balances as bal
 from tallybook.operators.chain import snapshot_chain
@@ -552,10 +552,7 @@ def snapshot_chain_orders(spark, sf_dir):
         F.max("juros_calculado").alias("top_interest"),
         F.min("saldo_final").alias("low_closing"),
         F.max("saldo_final").alias("top_closing"),
-        *[
-            F.sum(F.col(c).cast("decimal(28,8)")).cast("decimal(38,8)").cast("string").alias(f"sum_{c}")
-            for c in PAYOUT_SUMS
-        ],
+        *[exact_sum(F.col(c)).cast("string").alias(f"sum_{c}") for c in PAYOUT_SUMS],
     )
 
 

@@ -21,7 +21,7 @@ from tallybook.sources.rates import rate_lookup
 
 
 def payout_columns(
-    opening: Column, movement: Column, rate: Column, closing: Column, day: Column, minimum: float
+    opening: Column, movement: Column, interest: Column, closing: Column, day: Column, minimum: float
 ) -> list[Column]:
     """The payout row of one account and day."""
     return [
@@ -29,7 +29,7 @@ def payout_columns(
         opening.alias("saldo_a_mais_24_horas"),
         movement.alias("movimentacao_dia"),
         eligible_balance(opening, minimum).alias("saldo_elegivel"),
-        daily_interest(opening, rate, minimum).alias("juros_calculado"),
+        interest.alias("juros_calculado"),
         closing.alias("saldo_final"),
         day.alias("date"),
     ]
@@ -85,8 +85,9 @@ def daily_snapshot(
         .withColumn("opening", opening_balance(F.col("prev_saldo_final"), F.col("history")))
     )
     opening, movement, rate = F.col("opening"), F.col("movement"), F.col("rate")
+    interest = daily_interest(opening, rate, minimum)
     closing = closing_balance(opening, movement, rate, minimum)
     rows = priced.select(
-        *payout_columns(opening, movement, rate, closing, F.lit(today), minimum)
+        *payout_columns(opening, movement, interest, closing, F.lit(today), minimum)
     )
     return rows.select(*PAYOUTS.fieldNames())
