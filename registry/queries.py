@@ -43,7 +43,7 @@ from tallybook.schemas import (
 from tallybook.sources import rates as rate_source
 from tallybook.sources import sample_tables as sample
 from tallybook.sources import sinks
-from tallybook.sources.manifest import read_transactions, refresh_manifest
+from tallybook.sources.manifest import listed_files, read_transactions, refresh_manifest
 from tallybook.sources.tables import empty_table, read_table, table_exists
 from tallybook.sources.workspace import fresh_dir
 from tallybook.streaming.arrivals import curate_arrivals
@@ -652,16 +652,19 @@ def curate_arriving_files(spark, sf_dir):
 
 @query("stream_in_batches")
 def stream_in_batches(spark, sf_dir):
-    """Movements and rates as streams in small batches, rows and rates coming more than once, in two calls."""
+    """Movements and rates as streams, a delivery or a few files a batch, rows and rates coming more than once, in two calls."""
     zones = _zones(spark, "stream")
     tx, rates = sample.transactions(spark, sf_dir), sample.rates(spark, sf_dir)
     day = F.dayofmonth("event_time")
-    for part in (day < 18, day >= 12):
-        tx.where(part).coalesce(1).write.mode("append").parquet(zones.raw_transactions)
+    deliveries = [tx.where(part).repartition(spark.sparkContext.defaultParallelism) for part in (day < 18, day >= 12)]
+    deliveries[0].write.parquet(zones.raw_transactions)
+    # A batch takes as many files as the first delivery has, however many tasks wrote them.
+    files = listed_files(spark, zones.raw_transactions).count()
+    deliveries[1].write.mode("append").parquet(zones.raw_transactions)
     lower = rates.withColumn("valor", F.col("valor") / 2)
     for part in (lower, rates.where(F.dayofmonth("date") <= 9)):
         _append_rates(part.coalesce(2), zones.raw_rates)
-        curate_arrivals(spark, zones, f"{zones.base}/seen", 1, on_duplicate="distinct").awaitTermination()
+        curate_arrivals(spark, zones, f"{zones.base}/seen", files, on_duplicate="distinct").awaitTermination()
         curate_rate_arrivals(spark, zones, f"{zones.base}/rates_seen", 8).awaitTermination()
     return _curated_with_rate(spark, zones)
 

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallybook.operators.merge import upsert_table
 from tallybook.plans.zones import Zones
 from tallybook.schemas import RATE_KEY, RATE_PAYLOAD, RATES
+from tallybook.sources.workspace import scratch
 
 
 def curate_rate_arrivals(
@@ -35,8 +36,12 @@ def curate_rate_arrivals(
     )
 
     def upsert(batch: DataFrame, _: int) -> None:
-        if not batch.isEmpty():
-            upsert_table(batch.sparkSession, zones.rates, batch, RATE_KEY, RATES, on_duplicate="keep_all")
+        session = batch.sparkSession
+        with scratch(session) as copies:
+            # Every use of the batch itself would read and write the whole state once more.
+            changed = copies.keep(batch, "rates")
+            if not changed.isEmpty():
+                upsert_table(session, zones.rates, changed, RATE_KEY, RATES, on_duplicate="keep_all")
 
     return (
         greatest.writeStream.outputMode("update")
